@@ -47,7 +47,9 @@ def interval_join(events: DataFrame, samples: DataFrame, lo_s: int, hi_s: int,
         cond = (p_us >= e_us + lo_s * _US) & (p_us <= e_us + hi_s * _US)
     else:
         cond = (p_us > e_us + lo_s * _US) & (p_us < e_us + hi_s * _US)
-    joined = ev.join(sm, on=[*keys, "_bucket"], how="inner").where(cond)
+    # Shuffle both sides on (keys, _bucket) and hash the (smaller) event side per partition:
+    # the sample side is never broadcast (it is the large table) and never sorted for the join.
+    joined = ev.hint("shuffle_hash").join(sm, on=[*keys, "_bucket"], how="inner").where(cond)
     if "SequenceID" in samples.columns:
         secs = (F.floor(p_us / _US) - F.floor(e_us / _US))
         joined = joined.withColumns({

@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from fleetlens.plans import queries_core  # noqa: F401
+from fleetlens.plans import queries_da  # noqa: F401
