@@ -63,3 +63,22 @@ def ecs_job(t: Telemetry, probability=None) -> tuple[DataFrame, DataFrame]:
               else feats.withColumn("probability", pseudo_probability()))
     scored = scored.where(F.col("DriverID").isNotNull()).withColumn("score", curve_ecs("probability"))
     return to_outputs(scored, F.col("score") / 100, F.col("score"), positive_only=False, created=as_date())
+
+
+def _ml_job(features: DataFrame, dropped, required: str, curve, probability=None) -> tuple[DataFrame, DataFrame]:
+    """Shared tail of the CMB and ESP-RSP jobs: drop list, null filter, probability, curve, outputs."""
+    df = features.drop(*dropped).where(F.col(required).isNotNull())
+    scored = (probability(df) if probability is not None
+              else df.withColumn("probability", pseudo_probability()))
+    scored = scored.withColumn("score", curve(F.col("probability"), event_code("TripEventID")))
+    return to_outputs(scored, F.col("score") / 100, F.col("score"), positive_only=True)
+
+
+def cmb_job(t: Telemetry, probability=None) -> tuple[DataFrame, DataFrame]:
+    from fleetlens.operators.features import CMB_DROPPED, event_features
+    return _ml_job(event_features(cmb_source(t)), CMB_DROPPED, "AbsDiffBrakingForcestd", curve_cmb, probability)
+
+
+def esprsp_job(t: Telemetry, probability=None) -> tuple[DataFrame, DataFrame]:
+    from fleetlens.operators.features import ESP_DROPPED, event_features
+    return _ml_job(event_features(esprsp_source(t)), ESP_DROPPED, "DeltaSpeedBeforeZeromax", curve_esprsp, probability)

@@ -92,9 +92,9 @@ _BRAKE = ("p.Speed AS ppeSpeed, p.BrakingForce AS ppeBrakingForce, p.TurningForc
 CMB_SRC = O.interval_join_sql("src", "t.EventID IN (32, 4096, 1024)", "t.Speed AS teSpeed, 0 AS isSevere",
                               _BRAKE, -11, 11)
 ESP_SRC = O.interval_join_sql("src", "t.EventID IN (131072, 32768)", "t.Speed AS teSpeed, 0 AS isSevere",
-                              _BRAKE + ", p.Abs AS ppeAbs", -10, 10, inclusive=True)
+                              _BRAKE + ", p.Abs AS ppeAbs, p.DistanceForwardVehicle AS ppeDistanceForwardVehicle", -10, 10, inclusive=True)
 _CMB_OUT = f"{_EV}, teSpeed, isSevere, ppeSpeed, ppeBrakingForce, ppeTurningForce, ppeCurvature, ppeBrakePercentage, {_SM}"
-_ESP_OUT = _CMB_OUT + ", ppeAbs"
+_ESP_OUT = _CMB_OUT + ", ppeAbs, ppeDistanceForwardVehicle"
 
 
 @register("cmb_source", O.with_ctes(*_BASE, CMB_SRC) + f"SELECT {_CMB_OUT} FROM src")

@@ -115,7 +115,7 @@ def _brake_samples(t: Telemetry, with_abs: bool) -> DataFrame:
             F.col("TurningForce").alias("ppeTurningForce"), F.col("Curvature").alias("ppeCurvature"),
             F.col("BrakePercentage").alias("ppeBrakePercentage")]
     if with_abs:
-        cols.append(F.col("Abs").alias("ppeAbs"))
+        cols += [F.col("Abs").alias("ppeAbs"), F.col("DistanceForwardVehicle").alias("ppeDistanceForwardVehicle")]
     return _sample_cols(t.samples, *cols)
 
 
