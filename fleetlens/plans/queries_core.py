@@ -257,3 +257,23 @@ def q_shard_routing(spark, sf_dir):
     te = fixtures.trip_events(spark, sf_dir)
     roster = company_roster(fixtures.company_settings(spark, sf_dir, te), fixtures.company(spark, sf_dir, te))
     return route_shards(roster, fixtures.shard_server(spark, sf_dir, te))
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_scores", O.with_ctes(*_OSE_ALL) + imp_sql("scored"))
+def q_stream_scores(spark, sf_dir):
+    """Overspeed importance computed incrementally: trip events land as daily file chunks, a
+    Structured Streaming query (availableNow) scores each micro-batch and writes it idempotently
+    by batch id; the union of the sink equals the batch result."""
+    import uuid
+
+    from fleetlens.plans.families import overspeed_job
+    from fleetlens.session import checkpoint_dir
+    from fleetlens.streaming.stream import run_stream, stage_chunks
+
+    t = Telemetry.derive(spark, sf_dir)
+    run = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    stage_chunks(t.trips, f"{run}/trips")
+    q = run_stream(spark, f"{run}/trips", t, f"{run}/sink", f"{run}/checkpoint", overspeed_job)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/sink").drop("batch_id")

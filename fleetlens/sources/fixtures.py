@@ -77,6 +77,12 @@ def pre_post_events(spark: SparkSession, sf_dir: str, trips: DataFrame | None =
     ``n`` is kept as the sample's source id (a tie-breaker for ordering), never as a join key.
     """
     te = trips if trips is not None else trip_events(spark, sf_dir)
+    te = te.select("CompanyID", "VehicleID", "n", "Timestamp")
+    # The driver's events table is a single small file (one scan task); spread the rows over the
+    # cluster before the 84x expansion so sample generation runs on every core.
+    cores = spark.sparkContext.defaultParallelism
+    if te.rdd.getNumPartitions() < cores:
+        te = te.repartition(cores)
     x = te.select("CompanyID", "VehicleID", "n", "Timestamp",
                   F.explode(F.sequence(F.lit(0), F.lit(83))).alias("k"))
     n, k = F.col("n"), F.col("k")
