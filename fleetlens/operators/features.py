@@ -149,8 +149,13 @@ def event_features(src: DataFrame) -> DataFrame:
     """The per-event feature vector (25 features; ESP-RSP adds ``abscountlast``)."""
     rows = with_event_values(with_deltas(src))
     moved = rows.where((F.col("SecTimeSegment") >= 0) & (F.col("SpeedChange") > 0))
+    # full-row distinct over what identifies a sample row (event constants + sample values + lag
+    # columns); the sample's source id is not part of a row's identity. All columns are grouping
+    # keys, so this stays a hash aggregate on the join's partitioning (no shuffle, no sort).
     row_cols = [c for c in _ROW_COLS + ["ppeAbs", "ppeDistanceForwardVehicle"] if c in rows.columns]
-    moved = moved.dropDuplicates([*EVENT_PART, *row_cols])
+    const = [*EVENT_PART, *[k for k in EVENT_KEYS if k not in EVENT_PART], "batch_start", "n", "EventID", "isSevere",
+             *[c for c in (*EVENT_VALUE_COLS, "abscount") if c in rows.columns]]
+    moved = moved.select(*const, *row_cols).distinct()
     has_abs = "abscount" in rows.columns
     first = lambda c: F.first(c)  # noqa: E731 (per-event constant)
     aggs = [
@@ -179,10 +184,10 @@ def event_features(src: DataFrame) -> DataFrame:
         first("Max_TFCenterDeviation").alias("Max_TFCenterDeviationmax"),
         first("Sum_BFCenterDeviation").alias("Sum_BFCenterDeviationmax"),
         first("Max_BFCenterDeviation").alias("Max_BFCenterDeviationmax"),
-        F.first("TripEventID").alias("TripEventIDlast"),
         first("isSevere").alias("isSeverefirst"),
     ]
     if has_abs:
         aggs.append(F.coalesce(first("abscount"), F.lit(0)).cast("double").alias("abscountlast"))
     keys = [*EVENT_PART, *[k for k in EVENT_KEYS if k not in EVENT_PART], "batch_start", "n", "EventID"]
-    return moved.groupBy(*keys).agg(*aggs)
+    out = moved.groupBy(*keys).agg(*aggs)
+    return out.withColumn("TripEventIDlast", F.col("TripEventID"))
