@@ -56,14 +56,15 @@ def test_every_query_has_a_callable():
     assert len(E.queries()) >= 55
 
 
-def test_bucketed_join_equals_vehicle_join(spark):
+@pytest.mark.parametrize("limit", [None, 10**9])
+def test_bucketed_join_equals_vehicle_join(spark, limit):
     t = Telemetry.derive(spark, SF_SMOKE)
     ev = _event_cols(t.trips.where(F.col("EventID").isin(32, 4096, 1024)))
     sm = _brake_samples(t, False)
-    cols = ["TripEventID", "ppe_n", "SequenceID"]
-    a = interval_join(ev, sm, -11, 11).select(*cols)
-    b = naive_interval_join(ev, sm, -11, 11).select(*cols)
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    cols = ["TripEventID", "ppe_n", "SequenceID", "SecTimeSegment"]
+    a = interval_join(ev, sm, -11, 11, broadcast_max_rows=limit).select(*cols)
+    b = naive_interval_join(ev, sm, -11, 11).select(*cols[:-1])
+    assert a.count() == b.count() and a.drop("SecTimeSegment").exceptAll(b).count() == 0
 
 
 def test_interval_bounds_strict_vs_inclusive(spark):
@@ -78,8 +79,12 @@ def test_interval_bounds_strict_vs_inclusive(spark):
 def test_join_plan_never_broadcasts_samples(spark):
     t = Telemetry.derive(spark, SF_SMOKE)
     ev = _event_cols(t.trips)
-    plan = interval_join(ev, _brake_samples(t, False), -11, 11)._jdf.queryExecution().executedPlan().toString()
+    big = interval_join(ev, _brake_samples(t, False), -11, 11, broadcast_max_rows=None)
+    plan = big._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    small = interval_join(ev, _brake_samples(t, False), -11, 11, broadcast_max_rows=10**9)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildLeft" in plan  # the event side is the broadcast one
 
 
 def test_stream_equals_batch(spark):
