@@ -46,7 +46,7 @@ def da_job(t: Telemetry) -> tuple[DataFrame, DataFrame]:
 def ecs_events(t: Telemetry, dedup: bool = True) -> DataFrame:
     src = ecs_source(t)
     if dedup:
-        src = min_gap_dedup(src, RUN_VEHICLE, "EventTimeStamp", gap_s=DEDUP_GAP_SECONDS)
+        src = min_gap_dedup(src, RUN_VEHICLE, "EventTimeStamp", gap_s=DEDUP_GAP_SECONDS, bounded_scope=True)
     return src
 
 

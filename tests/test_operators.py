@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from fleetlens.operators.dedup import kept_events
+from fleetlens.operators.dedup import kept_events, kept_events_fold
 from fleetlens.operators.distance import distance_score, da_normalize, drop_joint_outliers, remove_noise
 from fleetlens.operators.features import event_features, event_values
 from fleetlens.operators.overspeed import nonsevere_clean, overspeed_scores
@@ -54,6 +54,8 @@ def test_min_gap_matches_sequential_loop(spark, times):
                                "CompanyID int, VehicleID string, TripEventID string, ts timestamp")
     got = sorted(int(r["TripEventID"][1:]) for r in kept_events(df, ["CompanyID", "VehicleID"], "ts", gap_s=60).collect())
     assert got == _greedy(times, 60)
+    fold = sorted(int(r["TripEventID"][1:]) for r in kept_events_fold(df, ["CompanyID", "VehicleID"], "ts", gap_s=60).collect())
+    assert fold == got
 
 
 def test_noise_run_drops_two_after_first(spark):
@@ -161,3 +163,32 @@ def test_nonsevere_fallback_rules(spark):
                                "tespeedmph double, speedlimitmph double")
     got = [r["speedoverlimitmph"] for r in nonsevere_clean(df).collect()]
     assert got == [5.0, 5.0, 0.0, 0.0, 5.0]
+
+
+def _repeat_loop(times_days):
+    """Running 3-in-7-days count with reset after a 7-day gap (the rule, written as a loop)."""
+    ts = sorted(times_days)
+    out, count = [], 0
+    for i, t in enumerate(ts):
+        score = 0
+        if i >= 2 and t - ts[i - 2] <= 7:
+            count += 1
+            score = count
+        elif i > 0 and t - ts[i - 1] > 7:
+            count = 0
+        out.append(score)
+    return ts, out
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=24 * 60), min_size=3, max_size=30, unique=True))
+def test_repeat_counts_blocked_scan_matches_loop(spark, hours):
+    from fleetlens.operators.repeat import repeat_counts
+    days = [h / 8.0 for h in hours]  # spread over ~180 days, gaps above and below 7 days
+    data = [(1, "V", "D", f"e{i:03d}", "g", T0, T0 + dt.timedelta(days=d)) for i, d in enumerate(sorted(days))]
+    cand = spark.createDataFrame(data, "CompanyID int, VehicleID string, DriverID string, TripEventID string, "
+                                       "TripEventGuid string, CreatedDate timestamp, EventTimeStamp timestamp")
+    got = {r["TripEventID"]: r["repeat_count"] for r in repeat_counts(cand).collect()}
+    _, want = _repeat_loop(sorted(days))
+    want_pos = {f"e{i:03d}": c for i, c in enumerate(want) if c > 0}
+    assert got == want_pos
