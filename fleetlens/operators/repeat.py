@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from fleetlens.session import checkpoint_dir
+
 DRIVER = ["CompanyID", "DriverID"]
 WEEK_US = 7 * 86_400_000_000
 
@@ -35,6 +37,9 @@ def blocked_lags(df: DataFrame, cols: list[str], n: int = 2, width_us: int = WEE
     d = d.withColumn("_blk", F.floor(F.col("_us") / width_us))
     w = Window.partitionBy(*DRIVER, "_blk").orderBy("_us", "TripEventID")
     d = d.withColumn("_pos", F.row_number().over(w))
+    # one row per event, read twice below (tails and rows): materialise once
+    checkpoint_dir(df.sparkSession)
+    d = d.checkpoint()
     # last n rows of every block, as arrays ordered oldest -> newest
     tail = (d.withColumn("_rev", F.row_number().over(Window.partitionBy(*DRIVER, "_blk")
                                                        .orderBy(F.col("_us").desc(), F.col("TripEventID").desc())))
@@ -75,7 +80,7 @@ def repeat_carry(ev: DataFrame) -> DataFrame:
 
 def repeat_candidates(ev: DataFrame, min_events: int = 3) -> DataFrame:
     """Unscored, not-carried events of drivers with at least ``min_events`` of them."""
-    c = with_carry(ev).where((F.col("importancescore") == 0) & (F.col("newimportancescore") == 0))
+    c = with_carry(ev).where((F.col("importancescore") == 0) & (F.col("newimportancescore") == 0)).checkpoint()
     counts = c.groupBy(*DRIVER).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_events)
     return c.join(counts.select(*DRIVER), DRIVER, "left_semi").drop("newimportancescore")
 
@@ -96,7 +101,7 @@ def repeat_counts(cand: DataFrame, days: int = 7, scope=("CompanyID",)) -> DataF
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_lseg", F.sum("_reset").over(run))
     d = d.withColumn("_lhits", F.sum("_hit").over(Window.partitionBy(*DRIVER, "_blk", "_lseg").orderBy("_pos")
-                                                 .rowsBetween(Window.unboundedPreceding, 0)))
+                                                 .rowsBetween(Window.unboundedPreceding, 0))).checkpoint()
     # block summaries: resets, hits after the block's last reset, all hits
     s = d.groupBy(*DRIVER, "_blk").agg(F.sum("_reset").alias("_nres"), F.sum("_hit").alias("_all"),
                                        F.max("_lseg").alias("_maxseg"))

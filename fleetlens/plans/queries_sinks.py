@@ -82,11 +82,30 @@ UNION ALL SELECT CompanyID, batch_start, count(DISTINCT TripEventID), 'scored' F
 
 @register("run_counters", _COUNTERS)
 def q_run_counters(spark, sf_dir):
-    """ECS run counters: distinct events read / kept by dedup / featured / scored per company and run."""
+    """ECS run counters: distinct events read / kept by dedup / featured / scored per company and run.
+
+    All four stages are counted from one per-event frame (checkpointed once): the dedup fold runs
+    on it, every kept event has samples and hence one feature row, and scoring drops events
+    without a driver. One aggregate, no recomputation of the sample join per stage.
+    """
+    from fleetlens.operators.dedup import kept_events_fold
+    from fleetlens.plans.families import RUN_VEHICLE
+    from fleetlens.schema import DEDUP_GAP_SECONDS
+    from fleetlens.session import checkpoint_dir
+
     t = Telemetry.derive(spark, sf_dir)
-    feats = ecs_features(t)
-    scored = feats.where(F.col("DriverID").isNotNull())
-    return run_counters({"read": ecs_source(t), "deduped": ecs_events(t), "featured": feats, "scored": scored})
+    checkpoint_dir(spark)
+    ev = ecs_source(t).select(*RUN_VEHICLE, "TripEventID", "EventTimeStamp", "DriverID").distinct().checkpoint()
+    kept = kept_events_fold(ev, RUN_VEHICLE, "EventTimeStamp", gap_s=DEDUP_GAP_SECONDS).withColumn("_kept", F.lit(1))
+    flags = ev.join(kept, [*RUN_VEHICLE, "TripEventID"], "left")
+    k = F.col("_kept").isNotNull()
+    per = flags.groupBy("CompanyID", "batch_start").agg(
+        F.count(F.lit(1)).alias("read"), F.count(F.when(k, 1)).alias("deduped"),
+        F.count(F.when(k, 1)).alias("featured"), F.count(F.when(k & F.col("DriverID").isNotNull(), 1)).alias("scored"))
+    stages = F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("events"))
+                       for n in ("read", "deduped", "featured", "scored")])
+    out = per.select("CompanyID", "batch_start", F.inline(stages))
+    return out.where(F.col("events") > 0)
 
 
 _WEEKLY = O.with_ctes(O.TRIP_EVENT, O.EVENT_DIM, O.TRIP_EVENT_EXTRA, O.EVENT_CLASSIFICATION, O.EVENT_CLASSIFICATION_TYPE) + """

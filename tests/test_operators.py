@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from fleetlens.operators.dedup import kept_events, kept_events_fold
+from fleetlens.operators.dedup import kept_events, kept_events_doubling, kept_events_fold
 from fleetlens.operators.distance import distance_score, da_normalize, drop_joint_outliers, remove_noise
 from fleetlens.operators.features import event_features, event_values
 from fleetlens.operators.overspeed import nonsevere_clean, overspeed_scores
@@ -56,6 +56,10 @@ def test_min_gap_matches_sequential_loop(spark, times):
     assert got == _greedy(times, 60)
     fold = sorted(int(r["TripEventID"][1:]) for r in kept_events_fold(df, ["CompanyID", "VehicleID"], "ts", gap_s=60).collect())
     assert fold == got
+    dbl = sorted(int(r["TripEventID"][1:]) for r in kept_events_doubling(df, ["CompanyID", "VehicleID"], "ts", gap_s=60).collect())
+    assert dbl == got
+    tiny_runs = sorted(int(r["TripEventID"][1:]) for r in kept_events(df, ["CompanyID", "VehicleID"], "ts", gap_s=60, max_run=3).collect())
+    assert tiny_runs == got
 
 
 def test_noise_run_drops_two_after_first(spark):
