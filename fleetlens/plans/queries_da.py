@@ -101,3 +101,21 @@ def q_da_scores(spark, sf_dir):
 def q_da_labels(spark, sf_dir):
     """Distance-alert classification rows (band of score x 100, gaps give null)."""
     return da_job(Telemetry.derive(spark, sf_dir))[1]
+
+
+@register("stream_dedup", "WITH RECURSIVE " + ",\n".join([O.TRIP_EVENT, dedup_sql("trip_event", "CompanyID, VehicleID", "Timestamp", GAP_6H)])
+          + "\nSELECT * FROM kept")
+def q_stream_dedup(spark, sf_dir):
+    """Min-gap dedup (6 h) as a Structured Streaming query with keyed state
+    (transformWithStateInPandas) over time-ordered file chunks; equals the batch result."""
+    import uuid
+
+    from fleetlens.session import checkpoint_dir
+    from fleetlens.streaming.dedup import run_dedup_stream, stage_ordered_chunks
+
+    te = fixtures.trip_events(spark, sf_dir)
+    run = f"{checkpoint_dir(spark).rstrip('/')}/dedup-stream-{uuid.uuid4().hex}"
+    stage_ordered_chunks(te, f"{run}/trips")
+    q = run_dedup_stream(spark, f"{run}/trips", f"{run}/sink", f"{run}/checkpoint", GAP_6H)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/sink").select("CompanyID", "VehicleID", "TripEventID")
