@@ -277,3 +277,36 @@ def q_stream_scores(spark, sf_dir):
     q = run_stream(spark, f"{run}/trips", t, f"{run}/sink", f"{run}/checkpoint", overspeed_job)
     q.awaitTermination()
     return spark.read.parquet(f"{run}/sink").drop("batch_id")
+
+
+@register("stream_join", O.with_ctes(*_BASE, CMB_SRC) + f"SELECT {_CMB_OUT} FROM src")
+def q_stream_join(spark, sf_dir):
+    """CMB source rows from a stream-stream interval join: trip events and samples arrive as
+    weekly file chunks on two streams (watermarked), joined by vehicle, time bucket and range."""
+    import uuid
+
+    from fleetlens.session import checkpoint_dir
+    from fleetlens.sources.family import _brake_samples, _event_cols
+    from fleetlens.streaming.join import stream_interval_join
+
+    t = Telemetry.derive(spark, sf_dir)
+    run = f"{checkpoint_dir(spark).rstrip('/')}/join-stream-{uuid.uuid4().hex}"
+    week = F.date_format(F.window("CreatedDate", "7 days").start, "yyyyMMdd")
+    ev = _event_cols(t.trips.where(F.col("EventID").isin(32, 4096, 1024)), F.col("Speed").alias("teSpeed"),
+                     F.lit(0).alias("isSevere"))
+    ev.withColumn("chunk", week).write.partitionBy("chunk").parquet(f"{run}/events")
+    owner = t.trips.select(F.col("n").alias("ppe_n"), F.col("CreatedDate").alias("_owner_created"))
+    sm = _brake_samples(t, False).join(owner, "ppe_n", "inner")
+    sm.withColumn("chunk", F.date_format(F.window("_owner_created", "7 days").start, "yyyyMMdd")) \
+        .drop("_owner_created").write.partitionBy("chunk").parquet(f"{run}/samples")
+    evs = spark.readStream.schema(spark.read.parquet(f"{run}/events").schema).option("maxFilesPerTrigger", 8) \
+        .parquet(f"{run}/events").drop("chunk")
+    sms = spark.readStream.schema(spark.read.parquet(f"{run}/samples").schema).option("maxFilesPerTrigger", 8) \
+        .parquet(f"{run}/samples").drop("chunk")
+    # the watermark delay must cover the ingestion disorder: files of one weekly chunk arrive in
+    # any order, so rows may be up to a chunk width older than the newest row seen
+    joined = stream_interval_join(evs, sms, -11, 11, delay="8 days")
+    q = (joined.writeStream.format("parquet").option("path", f"{run}/sink")
+         .option("checkpointLocation", f"{run}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/sink").select(*_cols(_CMB_OUT))
