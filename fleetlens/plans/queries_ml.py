@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fleetlens.ml.data import labelled_vectors, standardize, with_vector
 from fleetlens.ml.folds import stratified_folds
 from fleetlens.ml.metrics import average_precision
-from fleetlens.ml.models import compare_models, fit_lda, lda_scores, pca_select
+from fleetlens.ml.models import compare_models, fit_lda, grid_search, lda_scores, pca_select
 from fleetlens.ml.resample import adasyn, smote
 from fleetlens.plans.registry import register
 
@@ -76,3 +76,9 @@ def q_adasyn(spark, sf_dir):
     """ADASYN synthetic minority rows for the training folds (fold != 0)."""
     d = _prepared(spark, sf_dir).where(F.col("fold") != 0).withColumn("x", F.col("z"))
     return adasyn(d)
+
+
+@register("grid_search")
+def q_grid_search(spark, sf_dir):
+    """Grid search (2 x 2 x 2 random-forest settings) with CrossValidator on the stratified folds."""
+    return grid_search(_prepared(spark, sf_dir))
