@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators.dedup import kept_events
 from fleetlens.operators.distance import da_normalize, drop_joint_outliers, remove_noise
 from fleetlens.plans import oracle as O
-from fleetlens.plans.families import da_job, da_scored
+from fleetlens.plans.families import da_job
 from fleetlens.plans.queries_core import DA_CTES, imp_sql, lab_sql
 from fleetlens.plans.registry import register
 from fleetlens.sources import fixtures

@@ -9,7 +9,7 @@ from fleetlens.operators.report import weekly_report
 from fleetlens.operators.routing import company_roster
 from fleetlens.operators.sinks import one_per_key, preview, run_counters, upsert_classification, upsert_importance
 from fleetlens.plans import oracle as O
-from fleetlens.plans.families import ecs_events, ecs_features, ecs_job, nonsevere_job, overspeed_job
+from fleetlens.plans.families import nonsevere_job, overspeed_job
 from fleetlens.plans.queries_core import _OSE_ALL, NS_SCORED, NS_SRC, BAND_SQL
 from fleetlens.plans.queries_signal import _ECS_BASE, _ECS_SCORED
 from fleetlens.plans.registry import register
