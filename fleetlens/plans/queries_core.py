@@ -305,7 +305,9 @@ def q_stream_join(spark, sf_dir):
     # the watermark delay must cover the ingestion disorder: files of one weekly chunk arrive in
     # any order, so rows may be up to a chunk width older than the newest row seen
     joined = stream_interval_join(evs, sms, -11, 11, delay="8 days")
-    q = (joined.writeStream.format("parquet").option("path", f"{run}/sink")
-         .option("checkpointLocation", f"{run}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+    from fleetlens.session import start_with_partitions
+    q = start_with_partitions(spark, joined.writeStream.format("parquet").option("path", f"{run}/sink")
+                              .option("checkpointLocation", f"{run}/checkpoint").outputMode("append")
+                              .trigger(availableNow=True))
     q.awaitTermination()
     return spark.read.parquet(f"{run}/sink").select(*_cols(_CMB_OUT))

@@ -51,3 +51,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
+
+
+def start_with_partitions(spark: SparkSession, writer, partitions: int | None = None):
+    """Start a streaming ``writer`` whose stateful operators use ``partitions`` state partitions.
+
+    A streaming query snapshots the session configuration when it starts, so the shuffle
+    partition count is set only for ``start()`` and the session's own value is restored at once.
+    Default: the cluster's default parallelism (state stores per micro-batch = partitions).
+    """
+    key = "spark.sql.shuffle.partitions"
+    want = str(partitions or spark.sparkContext.defaultParallelism)
+    before = spark.conf.get(key)
+    spark.conf.set(key, want)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)

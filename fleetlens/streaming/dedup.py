@@ -9,14 +9,21 @@ not kept), which is the documented carry-over behaviour for out-of-order input.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from fleetlens.session import start_with_partitions
+
 OUT_SCHEMA = "CompanyID long, VehicleID string, TripEventID string, EventTimeStamp timestamp"
 
+# Ship the processor class by value: Python workers need only pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class MinGapDedup(StatefulProcessor):
     """Keep an event when it is more than ``gap_us`` after the key's last kept event."""
@@ -46,31 +53,34 @@ class MinGapDedup(StatefulProcessor):
         pass
 
 
-def stage_ordered_chunks(trips: DataFrame, path: str, days: int = 7) -> list[str]:
-    """Write trip events as time-ordered chunk folders (one write per chunk, oldest first), so a
-    file stream ingests them in time order. The chunk list is a handful of time windows."""
+def stage_ordered_chunks(trips: DataFrame, path: str, days: int = 7, files: int = 4) -> list[str]:
+    """Write trip events as time-ordered chunk folders (one write per chunk, oldest first), each
+    chunk exactly ``files`` files, so a file stream reading ``files`` files per trigger ingests one
+    whole chunk per micro-batch, in time order. The chunk list is a handful of time windows."""
     chunk = F.date_format(F.window("CreatedDate", f"{days} days").start, "yyyyMMdd")
     staged = trips.withColumn("_chunk", chunk)
     names = sorted(r["_chunk"] for r in staged.select("_chunk").distinct().collect())
     out = []
     for name in names:
         p = f"{path.rstrip('/')}/chunk={name}"
-        staged.where(F.col("_chunk") == name).drop("_chunk").write.mode("overwrite").parquet(p)
+        staged.where(F.col("_chunk") == name).drop("_chunk").repartition(files) \
+            .write.mode("overwrite").parquet(p)
         out.append(p)
     return out
 
 
 def run_dedup_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, gap_s: float,
-                     ts: str = "Timestamp"):
+                     ts: str = "Timestamp", files_per_trigger: int = 4, state_partitions: int | None = None):
     """Stream trip events from ``source_dir`` and append the kept ones to ``sink`` (parquet)."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     schema = spark.read.parquet(source_dir).schema
-    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
          .select("CompanyID", "VehicleID", "TripEventID", F.col(ts).alias("EventTimeStamp"),
                  F.unix_micros(F.col(ts)).alias("event_us")))
     kept = s.groupBy("CompanyID", "VehicleID").transformWithStateInPandas(
         statefulProcessor=MinGapDedup(int(gap_s * 1_000_000)), outputStructType=OUT_SCHEMA,
         outputMode="Append", timeMode="None")
-    return (kept.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start())
+    writer = (kept.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+              .outputMode("append").trigger(availableNow=True))
+    return start_with_partitions(spark, writer, state_partitions)
