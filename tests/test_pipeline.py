@@ -102,3 +102,25 @@ def test_upsert_is_idempotent(spark):
     once = upsert_importance(t.extra, src).cache()
     twice = upsert_importance(once, src)
     assert once.count() == twice.count() and once.exceptAll(twice).count() == 0
+
+
+def test_weekly_report_single_week_matches_all_weeks(spark):
+    import datetime as dt
+
+    from fleetlens.operators.report import weekly_report
+    from fleetlens.sources import fixtures
+    t = Telemetry.derive(spark, SF_SMOKE)
+    args = (t.extra, t.trips, t.event_dim, fixtures.event_classification(spark, SF_SMOKE, t.trips),
+            fixtures.event_classification_type(spark, SF_SMOKE, t.trips))
+    week = weekly_report(*args, as_of="2024-01-24")  # Wednesday -> window [Jan 14, Jan 21)
+    allw = weekly_report(*args).where(F.col("week_end") == F.lit(dt.date(2024, 1, 21)))
+    assert week.count() > 0 and week.exceptAll(allw).count() == 0 and allw.exceptAll(week).count() == 0
+
+
+def test_versioned_table_reads_latest(spark, tmp_path):
+    from fleetlens.operators.sinks import latest_version, save_version
+    base = str(tmp_path / "extra")
+    save_version(spark.createDataFrame([(1, 0.5)], "k int, s double"), base, "1")
+    save_version(spark.createDataFrame([(1, 0.7), (2, 0.1)], "k int, s double"), base, "2")
+    got = sorted(tuple(r) for r in latest_version(spark, base).collect())
+    assert got == [(1, 0.7), (2, 0.1)]
