@@ -22,6 +22,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_REPEAT = 2
 DIGITS, LEVELS = 3, 3
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -93,14 +94,20 @@ def mix_plan(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat
     return state.select("source", "source_size", "target", "base", below.alias("below"))
 
 
+def _with_plan(rows: DataFrame, plan: DataFrame, salt: Column) -> DataFrame:
+    """Join each row with its source's plan; a hot source is spread over ``SALTS`` keys."""
+    s, n = fresh(rows, "mix_source", "mix_salt")
+    plan = plan.withColumnRenamed("source", s).withColumn(n, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(plan, F.col("source").eqNullSafe(F.col(s)) & (salt == F.col(n))).drop(s, n)
+
+
 def passes(base: Column, key: Column, below: Column) -> Column:
     return base + (key < below).cast("int")
 
 
 def mixed(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row."""
-    p = plan.withColumnRenamed("source", "_s")
-    return (sizes.join(p, F.col("source").eqNullSafe(F.col("_s")))
+    return (_with_plan(sizes, plan, F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
             .select("doc_id", "size", "source_size", "target",
                     (passes(F.col("base"), F.col("key"), F.col("below")) * F.col("size")).cast("long").alias("taken")))
 
@@ -108,12 +115,12 @@ def mixed(sizes: DataFrame, plan: DataFrame) -> DataFrame:
 def apply_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, all columns kept."""
     plan = mix_plan(stage(sized(docs), "mix-sizes"), weights, share, max_repeat)
-    s, b, k = fresh(docs, "mix_source", "mix_base", "mix_below")
-    plan = plan.select(F.col("source").alias(s), F.col("base").alias(b), F.col("below").alias(k))
-    n = fresh(docs, "mix_n")[0]
-    times = passes(F.col(b), hash_key(F.col("doc_id")), F.col(k))
-    return (docs.join(plan, F.col("source").eqNullSafe(F.col(s)))
-            .withColumn(n, F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns))
+    b, k, n = fresh(docs, "mix_base", "mix_below", "mix_n")
+    plan = plan.select("source", F.col("base").alias(b), F.col("below").alias(k))
+    key = hash_key(F.col("doc_id"))
+    joined = _with_plan(docs, plan, F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    times = passes(F.col(b), key, F.col(k))
+    return joined.withColumn(n, F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
 
 
 SQL = r"""
