@@ -2,4 +2,5 @@
 
 from fleetlens.llm import mixing  # noqa: F401
 from fleetlens.llm import packing  # noqa: F401
+from fleetlens.llm import secrets  # noqa: F401
 from fleetlens.llm.common import ORACLE, QUERIES  # noqa: F401
