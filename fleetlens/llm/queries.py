@@ -1,7 +1,8 @@
 """Import every operator module so that the registry is complete."""
 
 from fleetlens.llm import mixing  # noqa: F401
+from fleetlens.llm import minhash  # noqa: F401
 from fleetlens.llm import packing  # noqa: F401
 from fleetlens.llm import quality  # noqa: F401
-from fleetlens.llm import secrets  # noqa: F401
+from fleetlens.llm import secret_scan  # noqa: F401
 from fleetlens.llm.common import ORACLE, QUERIES  # noqa: F401
