@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.session import checkpoint_dir
 
+# functions that run in tasks travel whole: workers need not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
