@@ -1,6 +1,7 @@
 """Import every operator module so that the registry is complete."""
 
 from fleetlens.llm import capfilters  # noqa: F401
+from fleetlens.llm import extraction  # noqa: F401
 from fleetlens.llm import fingerprint  # noqa: F401
 from fleetlens.llm import mixing  # noqa: F401
 from fleetlens.llm import minhash  # noqa: F401
