@@ -8,4 +8,5 @@ from fleetlens.llm import minhash  # noqa: F401
 from fleetlens.llm import packing  # noqa: F401
 from fleetlens.llm import quality  # noqa: F401
 from fleetlens.llm import secret_scan  # noqa: F401
+from fleetlens.llm import suffixes  # noqa: F401
 from fleetlens.llm.common import ORACLE, QUERIES  # noqa: F401
