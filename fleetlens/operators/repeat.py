@@ -1,9 +1,9 @@
 """Repeat-event scoring per driver (carry-over of recent scores, 3-in-7-days counts).
 
-All look-backs are at most 7 days, so a driver's timeline is cut into 7-day blocks. Windows
-run per (driver, block); the first rows of a block read the last rows of the previous block
-from a one-row-per-block summary (an older event is more than 7 days away and cannot change
-a rule), and running counts carry across blocks through the block summaries. No Window spans
+All look-backs are at most 7 calendar days (under 8 days of time), so a driver's timeline is
+cut into 8-day blocks. Windows run per (driver, block); the first rows of a block read the
+last rows of the previous block from a one-row-per-block summary (an older event is too far
+away to change a rule), and running counts carry across blocks through the block summaries. No Window spans
 a whole driver, so a driver with a large share of all events is spread over many tasks.
 """
 
@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fleetlens.session import checkpoint_dir
+from fleetlens.functions.columns import label_band
+from fleetlens.schema import CLASSIFIED_BY
 
 DRIVER = ["CompanyID", "DriverID"]
-WEEK_US = 7 * 86_400_000_000
+BLOCK_US = 8 * 86_400_000_000
 
 
 def driver_events(trips: DataFrame, extra: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def driver_events(trips: DataFrame, extra: DataFrame) -> DataFrame:
                     F.coalesce(F.col("_prior"), F.lit(0.0)).alias("importancescore")))
 
 
-def blocked_lags(df: DataFrame, cols: list[str], n: int = 2, width_us: int = WEEK_US) -> DataFrame:
+def blocked_lags(df: DataFrame, cols: list[str], n: int = 2, width_us: int = BLOCK_US) -> DataFrame:
     """Add ``_lag{k}_{c}`` (k = 1..n) per driver in (EventTimeStamp, TripEventID) order.
 
     Lags reach into the previous block only; a lag further back is null (callers only use
@@ -37,9 +38,6 @@ def blocked_lags(df: DataFrame, cols: list[str], n: int = 2, width_us: int = WEE
     d = d.withColumn("_blk", F.floor(F.col("_us") / width_us))
     w = Window.partitionBy(*DRIVER, "_blk").orderBy("_us", "TripEventID")
     d = d.withColumn("_pos", F.row_number().over(w))
-    # one row per event, read twice below (tails and rows): materialise once
-    checkpoint_dir(df.sparkSession)
-    d = d.checkpoint()
     # last n rows of every block, as arrays ordered oldest -> newest
     tail = (d.withColumn("_rev", F.row_number().over(Window.partitionBy(*DRIVER, "_blk")
                                                        .orderBy(F.col("_us").desc(), F.col("TripEventID").desc())))
@@ -80,7 +78,7 @@ def repeat_carry(ev: DataFrame) -> DataFrame:
 
 def repeat_candidates(ev: DataFrame, min_events: int = 3) -> DataFrame:
     """Unscored, not-carried events of drivers with at least ``min_events`` of them."""
-    c = with_carry(ev).where((F.col("importancescore") == 0) & (F.col("newimportancescore") == 0)).checkpoint()
+    c = with_carry(ev).where((F.col("importancescore") == 0) & (F.col("newimportancescore") == 0))
     counts = c.groupBy(*DRIVER).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_events)
     return c.join(counts.select(*DRIVER), DRIVER, "left_semi").drop("newimportancescore")
 
@@ -89,19 +87,20 @@ def repeat_counts(cand: DataFrame, days: int = 7, scope=("CompanyID",)) -> DataF
     """3-events-in-``days`` running count per driver (reset after a gap over ``days``),
     normalised per scope to 0.7..1.0 over positive counts (all equal -> 1.0); positives only.
 
-    hit = within ``days`` of the event two back; reset = more than ``days`` after the previous
-    event (or no previous event). The count is the number of hits since the last reset.
+    Days are calendar dates: hit = at most ``days`` dates after the event two back; reset = more
+    than ``days`` dates after the previous event (or no previous event). The count is the number
+    of hits since the last reset; events of one date follow in order of (time, TripEventID).
     """
-    lim = days * 86_400_000_000
-    d = blocked_lags(cand.withColumn("_us0", F.unix_micros("EventTimeStamp")), ["_us0"], n=2, width_us=lim)
-    hit = F.coalesce(F.col("_us0") - F.col("_lag2__us0") <= lim, F.lit(False))
-    reset = F.col("_lag1__us0").isNull() | (F.col("_us0") - F.col("_lag1__us0") > lim)
+    d = blocked_lags(cand.withColumn("_date", F.to_date("EventTimeStamp")), ["_date"], n=2,
+                     width_us=(days + 1) * 86_400_000_000)
+    hit = F.coalesce(F.datediff("_date", "_lag2__date") <= days, F.lit(False))
+    reset = F.col("_lag1__date").isNull() | (F.datediff("_date", "_lag1__date") > days)
     d = d.withColumns({"_hit": hit.cast("int"), "_reset": reset.cast("int")})
     w = Window.partitionBy(*DRIVER, "_blk").orderBy("_pos")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_lseg", F.sum("_reset").over(run))
     d = d.withColumn("_lhits", F.sum("_hit").over(Window.partitionBy(*DRIVER, "_blk", "_lseg").orderBy("_pos")
-                                                 .rowsBetween(Window.unboundedPreceding, 0))).checkpoint()
+                                                 .rowsBetween(Window.unboundedPreceding, 0)))
     # block summaries: resets, hits after the block's last reset, all hits
     s = d.groupBy(*DRIVER, "_blk").agg(F.sum("_reset").alias("_nres"), F.sum("_hit").alias("_all"),
                                        F.max("_lseg").alias("_maxseg"))
@@ -125,3 +124,10 @@ def repeat_counts(cand: DataFrame, days: int = 7, scope=("CompanyID",)) -> DataF
         F.lit(0.7) + (F.col("_count") - F.col("_lo")) * F.lit(0.3) / (F.col("_hi") - F.col("_lo")))
     return out.select("CompanyID", "VehicleID", "DriverID", "TripEventID", "TripEventGuid", "CreatedDate",
                       F.col("_count").alias("repeat_count"), score.alias("importancescore"))
+
+
+def repeat_labels(scored: DataFrame) -> DataFrame:
+    """Classification rows of carried or counted scores (band of the score x 100)."""
+    return scored.select("CompanyID", "VehicleID", "DriverID", "TripEventID",
+                         label_band(F.col("importancescore") * 100).alias("ClassificationName"),
+                         F.col("CreatedDate").alias("Timestamp"), F.lit(CLASSIFIED_BY).alias("By"))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetlens.schema import ROSTER_SETTING, SHARD_DB_PREFIX
+from fleetlens.schema import ROSTER_SETTING
 
 
-def company_roster(settings: DataFrame, company: DataFrame) -> DataFrame:
-    """Enabled companies: setting ``AutoEventClassification`` whose data contains ``true``."""
+def company_roster(settings: DataFrame, company: DataFrame, database_prefix: str = "telemetry_shard") -> DataFrame:
+    """Enabled companies, with the database of their shard (``database_prefix`` + id): setting ``AutoEventClassification`` whose data contains ``true``."""
     on = settings.where((F.col("Name") == ROSTER_SETTING) & F.col("Data").like("%true%"))
     return on.join(company, "CompanyID", "inner").select(
-        "CompanyID", F.concat(F.lit(SHARD_DB_PREFIX), F.col("ReportShardID").cast("string")).alias("DatabaseName"),
+        "CompanyID", F.concat(F.lit(database_prefix), F.col("ReportShardID").cast("string")).alias("DatabaseName"),
         F.col("ReportShardID").alias("ShardID"))
 
 

@@ -55,13 +55,18 @@ def ecs_features(t: Telemetry, dedup: bool = True) -> DataFrame:
     return event_signal_features(ecs_events(t, dedup), keys)
 
 
+def ecs_scored(feats: DataFrame, probability=None) -> DataFrame:
+    """Probability and curve score of every feature row whose six keys are all present."""
+    scored = (probability(feats) if probability is not None
+              else feats.withColumn("probability", pseudo_probability()))
+    keys = ["CompanyID", "VehicleID", "DriverID", "TripEventID", "TripEventGuid", "CreatedDate"]
+    return scored.dropna(subset=keys).withColumn("score", curve_ecs("probability"))
+
+
 def ecs_job(t: Telemetry, probability=None) -> tuple[DataFrame, DataFrame]:
     """ECS scoring; ``probability`` maps the feature frame to one with a ``probability`` column
     (a fitted model, see ``fleetlens.ml.models.score_with``); default: the deterministic stand-in."""
-    feats = ecs_features(t)
-    scored = (probability(feats) if probability is not None
-              else feats.withColumn("probability", pseudo_probability()))
-    scored = scored.where(F.col("DriverID").isNotNull()).withColumn("score", curve_ecs("probability"))
+    scored = ecs_scored(ecs_features(t), probability)
     return to_outputs(scored, F.col("score") / 100, F.col("score"), positive_only=False, created=as_date())
 
 

@@ -62,7 +62,7 @@ COMPANY_SETTINGS = """company_settings AS (SELECT DISTINCT CompanyID, 'AutoEvent
     CASE WHEN CompanyID = 5 THEN '{"enabled": false}' ELSE '{"enabled": true}' END AS Data FROM trip_event)"""
 
 SHARD_SERVER = """shard_server AS (SELECT ReportShardID AS ShardID,
-    CASE WHEN ReportShardID % 2 = 0 THEN 'Db2Server' ELSE 'DbServer' END AS Server FROM company WHERE CompanyID <> 4)"""
+    CASE WHEN ReportShardID % 2 = 0 THEN 'server-b' ELSE 'server-a' END AS Server FROM company WHERE CompanyID <> 4)"""
 
 BATCH = "time_bucket(INTERVAL 30 MINUTE, {c})"
 

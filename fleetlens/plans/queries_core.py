@@ -237,7 +237,7 @@ def q_classify_bands(spark, sf_dir):
 
 # ---------------------------------------------------------------- roster and routing
 @register("company_roster", O.with_ctes(O.TRIP_EVENT, O.COMPANY, O.COMPANY_SETTINGS) + """
-SELECT c.CompanyID, concat('SafetyDirect2_shard', cast(cc.ReportShardID AS varchar)) AS DatabaseName, cc.ReportShardID AS ShardID
+SELECT c.CompanyID, concat('telemetry_shard', cast(cc.ReportShardID AS varchar)) AS DatabaseName, cc.ReportShardID AS ShardID
 FROM company_settings c JOIN company cc ON c.CompanyID = cc.CompanyID
 WHERE c.Name = 'AutoEventClassification' AND c.Data LIKE '%true%'""")
 def q_company_roster(spark, sf_dir):
@@ -248,7 +248,7 @@ def q_company_roster(spark, sf_dir):
 
 @register("shard_routing", O.with_ctes(O.TRIP_EVENT, O.COMPANY, O.COMPANY_SETTINGS, O.SHARD_SERVER) + """
 SELECT r.*, s.Server FROM (
-  SELECT c.CompanyID, concat('SafetyDirect2_shard', cast(cc.ReportShardID AS varchar)) AS DatabaseName, cc.ReportShardID AS ShardID
+  SELECT c.CompanyID, concat('telemetry_shard', cast(cc.ReportShardID AS varchar)) AS DatabaseName, cc.ReportShardID AS ShardID
   FROM company_settings c JOIN company cc ON c.CompanyID = cc.CompanyID
   WHERE c.Name = 'AutoEventClassification' AND c.Data LIKE '%true%') r LEFT JOIN shard_server s ON r.ShardID = s.ShardID""")
 def q_shard_routing(spark, sf_dir):

@@ -53,8 +53,9 @@ ECS_FEATS = f"""feats AS (SELECT CompanyID, VehicleID, TripEventID, TripEventGui
 
 
 def _z(c: str) -> str:
-    return (f"(({c} - avg({c}) OVER s) / CASE WHEN stddev_pop({c}) OVER s <= 1e-9 * greatest(1, abs(avg({c}) OVER s)) THEN 1 "
-            f"ELSE stddev_pop({c}) OVER s END) AS {c}")
+    sd, n, eps = f"(stddev_pop({c}) OVER s)", "cast(count(*) OVER s AS double)", "2.220446049250313e-16"
+    noise = f"{n} * {eps} * ({sd} * {sd}) + ({n} * (avg({c}) OVER s) * {eps}) * ({n} * (avg({c}) OVER s) * {eps})"
+    return f"(({c} - avg({c}) OVER s) / CASE WHEN {sd} * {sd} <= {noise} THEN 1 ELSE {sd} END) AS {c}"
 
 
 _ECS_BASE = ("WITH RECURSIVE " + ",\n".join([*ECS_CTES, dedup_sql("src", "CompanyID, batch_start, VehicleID", "EventTimeStamp", 60),

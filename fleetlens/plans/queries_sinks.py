@@ -4,30 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.operators.repeat import driver_events, repeat_candidates, repeat_carry, repeat_counts
+from fleetlens.operators.repeat import driver_events, repeat_candidates, repeat_carry, repeat_counts, repeat_labels
 from fleetlens.operators.report import weekly_report
 from fleetlens.operators.routing import company_roster
 from fleetlens.operators.sinks import one_per_key, preview, run_counters, upsert_classification, upsert_importance
 from fleetlens.plans import oracle as O
-from fleetlens.plans.families import nonsevere_job, overspeed_job
-from fleetlens.plans.queries_core import _OSE_ALL, NS_SCORED, NS_SRC, BAND_SQL
+from fleetlens.plans import queries_da, queries_features  # noqa: F401  (their oracles are merged below)
+from fleetlens.plans.families import cmb_job, da_job, ecs_events, ecs_features, ecs_job, ecs_scored, esprsp_job, nonsevere_job, overspeed_job
+from fleetlens.plans.queries_core import BAND_SQL
 from fleetlens.plans.queries_signal import _ECS_BASE, _ECS_SCORED
-from fleetlens.plans.registry import register
+from fleetlens.plans.registry import ORACLE, register
 from fleetlens.sources import fixtures
 from fleetlens.sources.family import Telemetry, ecs_source
 
 _KEYS4 = ["CompanyID", "VehicleID", "TripEventID", "TripEventGuid"]
-_UPSERT_SRC = """cand AS (SELECT CompanyID, VehicleID, TripEventID, TripEventGuid, CreatedDate, score AS ImportanceScore, 0 AS prio FROM scored
-  UNION ALL SELECT CompanyID, VehicleID, TripEventID, TripEventGuid, CreatedDate, score, 1 FROM nscored),
-srcu AS (SELECT CompanyID, VehicleID, TripEventID, TripEventGuid, arg_min_null(CreatedDate, prio) AS CreatedDate,
-  arg_min_null(ImportanceScore, prio) AS ImportanceScore, TRUE AS s_hit FROM cand GROUP BY ALL)"""
+_SCORES = ("overspeed_scores", "nonsevere_scores", "da_scores", "ecs_scores", "cmb_curve", "esprsp_curve")
+_LABELS = ("overspeed_labels", "nonsevere_labels", "da_labels", "ecs_labels", "cmb_labels", "esprsp_labels")
+
+
+def _all_families(t: Telemetry, part: int) -> list:
+    """Importance (part 0) or label (part 1) rows of the six families; text dates become timestamps."""
+    when = "CreatedDate" if part == 0 else "Timestamp"
+    jobs = (overspeed_job, nonsevere_job, da_job, ecs_job, cmb_job, esprsp_job)
+    return [(d := job(t)[part]).withColumn(when, F.col(when).cast("timestamp")) for job in jobs]
+
+
+def _candidates(names, cols: str, when: str) -> str:
+    """Rows of the families' own oracles with their priority (earlier families win a key)."""
+    return " UNION ALL ".join(f"SELECT {cols.replace(when, f'cast({when} AS timestamp) AS {when}')}, {i} AS prio FROM ({ORACLE[n]}) q{i}"
+                              for i, n in enumerate(names))
 
 
 def _pick(c: str) -> str:
     return f"CASE WHEN t.t_hit THEN t.{c} ELSE s.{c} END AS {c}"
 
 
-_UPSERT_IMP = (O.with_ctes(*_OSE_ALL, NS_SRC, NS_SCORED, O.TRIP_EVENT_EXTRA, _UPSERT_SRC) + f"""
+_UPSERT_IMP = (O.with_ctes(O.TRIP_EVENT, O.TRIP_EVENT_EXTRA) + f""",
+cand AS ({_candidates(_SCORES, "CompanyID, VehicleID, TripEventID, TripEventGuid, CreatedDate, importancescore", "CreatedDate")}),
+srcu AS (SELECT CompanyID, VehicleID, TripEventID, TripEventGuid, arg_min_null(CreatedDate, prio) AS CreatedDate,
+  arg_min_null(importancescore, prio) AS ImportanceScore, TRUE AS s_hit FROM cand GROUP BY ALL)
 SELECT {_pick('CompanyID')}, {_pick('VehicleID')}, {_pick('TripEventID')}, {_pick('TripEventGuid')}, {_pick('CreatedDate')},
   {O.q4('CASE WHEN s.s_hit THEN s.ImportanceScore ELSE t.ImportanceScore END')} AS ImportanceScore
 FROM (SELECT *, TRUE AS t_hit FROM trip_event_extra) t FULL OUTER JOIN srcu s
@@ -37,17 +52,17 @@ FROM (SELECT *, TRUE AS t_hit FROM trip_event_extra) t FULL OUTER JOIN srcu s
 
 @register("upsert_importance", _UPSERT_IMP)
 def q_upsert_importance(spark, sf_dir):
-    """TripEventExtra after merging overspeed scores (series path wins over the fallback path)."""
+    """TripEventExtra after merging the scores of all six families (series path wins over the fallback path)."""
     t = Telemetry.derive(spark, sf_dir)
-    src = one_per_key([overspeed_job(t)[0], nonsevere_job(t)[0]], _KEYS4)
-    return upsert_importance(t.extra, src)
+    return upsert_importance(t.extra, one_per_key(_all_families(t, 0), _KEYS4))
 
 
-_UPSERT_CLS = (O.with_ctes(*_OSE_ALL, O.EVENT_CLASSIFICATION, O.EVENT_CLASSIFICATION_TYPE) + f"""
-, lab AS (SELECT CompanyID, VehicleID, DriverID, TripEventID, {BAND_SQL.format(s='score * 100')} AS ClassificationName,
-    CreatedDate AS Timestamp, 'AER Classification' AS "By" FROM scored WHERE score > 0),
+_UPSERT_CLS = (O.with_ctes(O.TRIP_EVENT, O.EVENT_CLASSIFICATION, O.EVENT_CLASSIFICATION_TYPE) + f""",
+lab AS ({_candidates(_LABELS, 'CompanyID, VehicleID, DriverID, TripEventID, ClassificationName, Timestamp, "By"', "Timestamp")}),
+one AS (SELECT CompanyID, VehicleID, TripEventID, arg_min_null(DriverID, prio) AS DriverID, arg_min_null(ClassificationName, prio) AS ClassificationName,
+  arg_min_null(Timestamp, prio) AS Timestamp, arg_min_null("By", prio) AS "By" FROM lab GROUP BY ALL),
 srcc AS (SELECT l.CompanyID, l.VehicleID, l.DriverID, l.TripEventID, ty.Type AS Classification, l.Timestamp, l."By", TRUE AS s_hit
-  FROM lab l JOIN event_classification_type ty ON l.CompanyID = ty.CompanyID AND l.ClassificationName = ty.Name)
+  FROM one l JOIN event_classification_type ty ON l.CompanyID = ty.CompanyID AND l.ClassificationName = ty.Name)
 SELECT {_pick('CompanyID')}, {_pick('VehicleID')}, {_pick('DriverID')}, {_pick('TripEventID')},
   CASE WHEN s.s_hit THEN s.Classification ELSE t.Classification END AS Classification,
   CASE WHEN s.s_hit THEN s.Timestamp ELSE t.Timestamp END AS Timestamp,
@@ -58,9 +73,9 @@ FROM (SELECT *, TRUE AS t_hit FROM event_classification) t FULL OUTER JOIN srcc
 
 @register("upsert_classification", _UPSERT_CLS)
 def q_upsert_classification(spark, sf_dir):
-    """EventClassification after merging overspeed labels (name -> type per company)."""
+    """EventClassification after merging the labels of all six families (name -> type per company)."""
     t = Telemetry.derive(spark, sf_dir)
-    labels = overspeed_job(t)[1]
+    labels = one_per_key(_all_families(t, 1), ["CompanyID", "VehicleID", "TripEventID"])
     return upsert_classification(fixtures.event_classification(spark, sf_dir, t.trips), labels,
                                  fixtures.event_classification_type(spark, sf_dir, t.trips))
 
@@ -82,30 +97,10 @@ UNION ALL SELECT CompanyID, batch_start, count(DISTINCT TripEventID), 'scored' F
 
 @register("run_counters", _COUNTERS)
 def q_run_counters(spark, sf_dir):
-    """ECS run counters: distinct events read / kept by dedup / featured / scored per company and run.
-
-    All four stages are counted from one per-event frame (checkpointed once): the dedup fold runs
-    on it, every kept event has samples and hence one feature row, and scoring drops events
-    without a driver. One aggregate, no recomputation of the sample join per stage.
-    """
-    from fleetlens.operators.dedup import kept_events_fold
-    from fleetlens.plans.families import RUN_VEHICLE
-    from fleetlens.schema import DEDUP_GAP_SECONDS
-    from fleetlens.session import checkpoint_dir
-
+    """Events read, kept by dedup, featured and scored per company and run (ECS), each stage counted on its own frame."""
     t = Telemetry.derive(spark, sf_dir)
-    checkpoint_dir(spark)
-    ev = ecs_source(t).select(*RUN_VEHICLE, "TripEventID", "EventTimeStamp", "DriverID").distinct().checkpoint()
-    kept = kept_events_fold(ev, RUN_VEHICLE, "EventTimeStamp", gap_s=DEDUP_GAP_SECONDS).withColumn("_kept", F.lit(1))
-    flags = ev.join(kept, [*RUN_VEHICLE, "TripEventID"], "left")
-    k = F.col("_kept").isNotNull()
-    per = flags.groupBy("CompanyID", "batch_start").agg(
-        F.count(F.lit(1)).alias("read"), F.count(F.when(k, 1)).alias("deduped"),
-        F.count(F.when(k, 1)).alias("featured"), F.count(F.when(k & F.col("DriverID").isNotNull(), 1)).alias("scored"))
-    stages = F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("events"))
-                       for n in ("read", "deduped", "featured", "scored")])
-    out = per.select("CompanyID", "batch_start", F.inline(stages))
-    return out.where(F.col("events") > 0)
+    return run_counters({"read": ecs_source(t), "deduped": ecs_events(t), "featured": (f := ecs_features(t)),
+                         "scored": ecs_scored(f)})
 
 
 _WEEKLY = O.with_ctes(O.TRIP_EVENT, O.EVENT_DIM, O.TRIP_EVENT_EXTRA, O.EVENT_CLASSIFICATION, O.EVENT_CLASSIFICATION_TYPE) + """
@@ -155,22 +150,41 @@ def q_repeat_driver_filter(spark, sf_dir):
     return repeat_candidates(driver_events(t.trips, t.extra))
 
 
-_L7 = 7 * 86_400_000_000
 _RC = f""",
-rc0 AS (SELECT *, coalesce(epoch_us(EventTimeStamp) - epoch_us(lag(EventTimeStamp, 2) OVER w) <= {_L7}, FALSE) AS hit,
-  coalesce(epoch_us(EventTimeStamp) - epoch_us(lag(EventTimeStamp) OVER w) > {_L7}, FALSE) AS rst
+rc0 AS (SELECT *, coalesce(date_diff('day', lag(day, 2) OVER w, day) <= 7, FALSE) AS hit,
+  coalesce(date_diff('day', lag(day) OVER w, day) > 7, FALSE) AS rst
   FROM cand WINDOW w AS (PARTITION BY CompanyID, DriverID ORDER BY EventTimeStamp, TripEventID)),
 rc1 AS (SELECT *, sum(CASE WHEN rst THEN 1 ELSE 0 END) OVER (PARTITION BY CompanyID, DriverID ORDER BY EventTimeStamp, TripEventID
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM rc0),
 rc2 AS (SELECT *, CASE WHEN hit THEN cast(sum(CASE WHEN hit THEN 1 ELSE 0 END) OVER (PARTITION BY CompanyID, DriverID, seg
   ORDER BY EventTimeStamp, TripEventID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bigint) ELSE 0 END AS cnt FROM rc1),
 pos AS (SELECT * FROM rc2 WHERE cnt > 0),
-bnd AS (SELECT CompanyID, min(cnt) AS lo, max(cnt) AS hi FROM pos GROUP BY ALL)
-SELECT {_EV_OUT}, cnt AS repeat_count, {O.q4('CASE WHEN lo = hi THEN 1.0e0 ELSE 0.7e0 + (cnt - lo) * 0.3e0 / (hi - lo) END')} AS importancescore
-FROM pos JOIN bnd USING (CompanyID)"""
+bnd AS (SELECT CompanyID, min(cnt) AS lo, max(cnt) AS hi FROM pos GROUP BY ALL),
+scd AS (SELECT *, CASE WHEN lo = hi THEN 1.0e0 ELSE 0.7e0 + (cnt - lo) * 0.3e0 / (hi - lo) END AS score FROM pos JOIN bnd USING (CompanyID))
+"""
+
+
+def _labels_sql(frm: str, score: str) -> str:
+    return (f"SELECT CompanyID, VehicleID, DriverID, TripEventID, {BAND_SQL.format(s=score)} AS ClassificationName, "
+            f"CreatedDate AS Timestamp, 'AER Classification' AS \"By\" FROM {frm}")
+
+
+@register("repeat_carry_labels", _REP_BASE + _labels_sql("carry WHERE newimportancescore <> 0", "newimportancescore * 100"))
+def q_repeat_carry_labels(spark, sf_dir):
+    """Classification rows of the carried-over scores."""
+    t = Telemetry.derive(spark, sf_dir)
+    return repeat_labels(repeat_carry(driver_events(t.trips, t.extra)))
+
+
+@register("repeat_count_labels", _REP_BASE.rstrip("\n") + _RC + _labels_sql("scd", "score * 100"))
+def q_repeat_count_labels(spark, sf_dir):
+    """Classification rows of the 3-in-7-days scores."""
+    t = Telemetry.derive(spark, sf_dir)
+    return repeat_labels(repeat_counts(repeat_candidates(driver_events(t.trips, t.extra))))
 
 
-@register("repeat_count", _REP_BASE.rstrip("\n") + _RC)
+@register("repeat_count", _REP_BASE.rstrip("\n") + _RC
+          + f"SELECT {_EV_OUT}, cnt AS repeat_count, {O.q4('score')} AS importancescore FROM scd")
 def q_repeat_count(spark, sf_dir):
     """Running 3-in-7-days counts per driver, normalised to 0.7..1.0 per company."""
     t = Telemetry.derive(spark, sf_dir)

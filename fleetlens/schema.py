@@ -18,7 +18,6 @@ LABEL_HIGH = "Pre-Grouped (High)"
 LABEL_BANDS = ((1, 39, LABEL_LOW), (40, 69, LABEL_MID), (70, 100, LABEL_HIGH))
 CLASSIFIED_BY = "AER Classification"
 ROSTER_SETTING = "AutoEventClassification"
-SHARD_DB_PREFIX = "SafetyDirect2_shard"
 # ---------------------------------------------------------------------------
 
 EVENT_KEY = ("CompanyID", "TripEventID")

@@ -151,5 +151,5 @@ def shard_server(spark: SparkSession, sf_dir: str, trips: DataFrame | None = Non
     """Shard -> server mapping; shard 64 is deliberately unmapped."""
     return (company(spark, sf_dir, trips).where(F.col("CompanyID") != 4)
             .select(F.col("ReportShardID").alias("ShardID"),
-                    F.when(F.col("ReportShardID") % 2 == 0, F.lit("Db2Server"))
-                    .otherwise(F.lit("DbServer")).alias("Server")))
+                    F.when(F.col("ReportShardID") % 2 == 0, F.lit("server-b"))
+                    .otherwise(F.lit("server-a")).alias("Server")))

@@ -170,8 +170,8 @@ def test_nonsevere_fallback_rules(spark):
 
 
 def _repeat_loop(times_days):
-    """Running 3-in-7-days count with reset after a 7-day gap (the rule, written as a loop)."""
-    ts = sorted(times_days)
+    """Running 3-in-7-days count by date with reset after a 7-day gap (the rule, written as a loop)."""
+    ts = [int(t) for t in sorted(times_days)]
     out, count = [], 0
     for i, t in enumerate(ts):
         score = 0
@@ -189,10 +189,37 @@ def _repeat_loop(times_days):
 def test_repeat_counts_blocked_scan_matches_loop(spark, hours):
     from fleetlens.operators.repeat import repeat_counts
     days = [h / 8.0 for h in hours]  # spread over ~180 days, gaps above and below 7 days
-    data = [(1, "V", "D", f"e{i:03d}", "g", T0, T0 + dt.timedelta(days=d)) for i, d in enumerate(sorted(days))]
+    data = [(1, "V", "D", f"e{i:03d}", "g", T0, dt.datetime(2024, 1, 1) + dt.timedelta(days=d)) for i, d in enumerate(sorted(days))]
     cand = spark.createDataFrame(data, "CompanyID int, VehicleID string, DriverID string, TripEventID string, "
                                        "TripEventGuid string, CreatedDate timestamp, EventTimeStamp timestamp")
     got = {r["TripEventID"]: r["repeat_count"] for r in repeat_counts(cand).collect()}
     _, want = _repeat_loop(sorted(days))
     want_pos = {f"e{i:03d}": c for i, c in enumerate(want) if c > 0}
     assert got == want_pos
+
+
+def test_repeat_counts_are_by_calendar_date(spark):
+    """Day 1 at 01:00, day 4, day 8 at 23:00: seven dates apart, so the third event counts."""
+    from fleetlens.operators.repeat import repeat_counts
+    at = [dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 4), dt.datetime(2024, 1, 8, 23)]
+    data = [(1, "V", "D", f"e{i}", "g", T0, t) for i, t in enumerate(at)]
+    cand = spark.createDataFrame(data, "CompanyID int, VehicleID string, DriverID string, TripEventID string, "
+                                       "TripEventGuid string, CreatedDate timestamp, EventTimeStamp timestamp")
+    assert [(r["TripEventID"], r["repeat_count"]) for r in repeat_counts(cand).collect()] == [("e2", 1)]
+
+
+def test_upsert_stops_on_duplicate_keys(spark):
+    from fleetlens.operators.sinks import resolve_labels, upsert
+    target = spark.createDataFrame([(1, "a", 0.5)], "id int, g string, v double")
+    twice = spark.createDataFrame([(2, "b", 0.1), (2, "B", 0.2)], "id int, g string, v double")
+    merged = upsert(target, twice, ["id", "g"], {"v": "v"}, casefold=("g",))
+    assert "raise_error" in merged._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="more than one row"):
+        merged.select("v").collect()
+    nulls = spark.createDataFrame([(None, "b", 0.1), (None, "b", 0.2)], "id int, g string, v double")
+    assert upsert(target, nulls, ["id", "g"], {"v": "v"}).count() == 3
+    labels = spark.createDataFrame([(1, "V", "D", "e", "L", T0, "x")], "CompanyID int, VehicleID string, DriverID string, "
+                                   "TripEventID string, ClassificationName string, Timestamp timestamp, By string")
+    types = spark.createDataFrame([(1, 1, "L"), (1, 2, "L")], "CompanyID int, Type int, Name string")
+    with pytest.raises(Exception, match="more than one row"):
+        resolve_labels(labels, types).collect()
