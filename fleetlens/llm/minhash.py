@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens.llm.common import fresh, load, query, stage
 from fleetlens.llm.graph import components
-from fleetlens.llm.textvec import Block, blocks, mix, shingles
+from fleetlens.llm.textvec import Block, blocks, mix, shingles, slices
 
 WORDS = 5
 SIMILAR = 0.8
@@ -67,7 +67,7 @@ def frequency_sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         table, rows = np.zeros((2, 1 << SKETCH_BITS), dtype=np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             rows += batch.num_rows
             for part in lowered(batch.column(0).to_pylist()):
                 h, _, _ = doc_shingles(part)
@@ -163,7 +163,7 @@ def signatures(docs: DataFrame, tables) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").dictionary_encode()
             index, distinct = texts.indices, texts.dictionary.to_pylist()
             sign: list[bytes | None] = []

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fleetlens.llm.common import load, query, stage
+from fleetlens.llm.textvec import slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -118,7 +119,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = ChunkIds(vocabulary, ranks)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             rows, out = [], []
             for row, text in enumerate(batch.column("text")):
                 ids = token_bytes(text.as_py(), cache) + end

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetlens.llm.common import load, query, stage
+from fleetlens.llm.textvec import slices
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -231,7 +232,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for t in batch.column("text"):
                 spans = model.spans(t.as_py() or "")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleetlens.llm.common import load, query, stage
 from fleetlens.llm.minhash import _by_group
-from fleetlens.llm.textvec import Block, _P_INV, blocks, mix, powers
+from fleetlens.llm.textvec import Block, _P_INV, blocks, mix, powers, slices
 
 LENGTH = 400
 GRAM = 128
@@ -146,7 +146,7 @@ def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("doc_id")
             done = 0
             for part in blocks(batch.column("text").to_pylist()):
@@ -165,7 +165,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([hashlib.md5(t).digest() for t in raw], pa.binary()),
                                               pa.array([zlib.compress(t, 1) for t in raw], pa.binary())], names=["doc_id", "tid", "packed"])

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -30,6 +30,13 @@ def blocks(texts: Iterable[str | None], limit: int = BLOCK_BYTES) -> Iterator[li
         yield out
 
 
+def slices(batches: Iterator, rows: int = 500) -> Iterator:
+    """Arrow batches in slices of at most ``rows`` rows, so that what a task holds at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0..n-1 modulo 2 ** 64, kept between calls."""
     have = _POWERS.get(base)
