@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -267,6 +268,7 @@ def aligned_nodes(pages: DataFrame) -> DataFrame:
     """(host, page, node): a row per page (node null), and one per text node that is aligned with an equal one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sys.setrecursionlimit(10 ** 7)  # trees may be deep; these calls use no C stack
             model: dict[str | None, tuple[int, list]] = {}
             rows = []
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):

@@ -162,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
 
     rows = (sample.select(F.xxhash64("doc_id").alias("h"), "doc_id", "label", both("text", "lang", "source", "n_chars").alias("x"))
             .orderBy("h", "doc_id", "x.text", "x.page").limit(labelled_rows + unlabelled_rows).collect())
-    views = [np.array([r["x"][k] for r in rows], dtype=float).reshape(len(rows), -1) for k in ("text", "page")]
+    views = [np.array([r["x"][k] for r in rows], dtype=float).reshape(len(rows), -1 if rows else 0) for k in ("text", "page")]
     return CoTrained(views, np.array([np.nan if r["label"] is None else r["label"] for r in rows], dtype=float))
 
 

@@ -170,8 +170,8 @@ class Automaton:
 class Model:
     """Credential automata by kind, the automaton of ordinary tokens, and a threshold per kind.
 
-    A threshold is the larger of the highest log-odds of the ordinary sample and the lowest
-    hundredth of the kind's own values.
+    A threshold is the largest of 0, the ordinary sample's highest hundredth of log-odds (it may
+    hold some unlabelled credentials) and the lowest hundredth of the kind's own values.
     """
 
     def __init__(self, values: dict[str, list[str]], ordinary: list[str]):
@@ -181,7 +181,8 @@ class Model:
         for k, vs in sorted(values.items()):
             if vs:
                 own = sorted(self.odds(k, symbols(v)) for v in vs)
-                self.least[k] = max([own[len(own) // 100], 0.0, *(self.odds(k, symbols(v)) for v in ordinary)])
+                other = sorted(self.odds(k, symbols(v)) for v in ordinary) or [0.0]
+                self.least[k] = max(own[len(own) // 100], 0.0, other[int(0.99 * (len(other) - 1))])
 
     def odds(self, kind: str, s: str) -> float:
         other = self.ordinary.log_likelihood(s) if self.ordinary.moves else UNSEEN * len(s)
