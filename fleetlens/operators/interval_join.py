@@ -6,9 +6,7 @@ events-per-vehicle x samples-per-vehicle comparisons, which grows without bound
 vehicle. We add a time-bucket equi key instead:
 
 * each event gets one *home bucket* ``floor(ts / bucket_s)``;
-* each sample is replicated to the (1 or 2) home buckets of events whose range can hold it
-  (or, when the event side is small enough to broadcast after a count check, each event is
-  replicated to the 1-2 sample buckets its range touches and the samples are not shuffled).
+* each sample is replicated to the (1 or 2) home buckets of events whose range can hold it.
 
 The join is then an equi join on (CompanyID, VehicleID, _bucket) with the exact range as a
 residual filter, so each (event, sample) pair is produced exactly once and candidate lists
@@ -29,19 +27,16 @@ _US = 1_000_000
 def interval_join(events: DataFrame, samples: DataFrame, lo_s: int, hi_s: int,
                   inclusive: bool = False, bucket_s: int = 60,
                   event_ts: str = "EventTimeStamp", sample_ts: str = "ppeTimeStamp",
-                  keys: tuple[str, ...] = ("CompanyID", "VehicleID"),
-                  broadcast_max_rows: int | None = 500_000) -> DataFrame:
+                  keys: tuple[str, ...] = ("CompanyID", "VehicleID")) -> DataFrame:
     """Inner join of events with samples where ``event_ts + lo_s (<|<=) sample_ts (<|<=) event_ts + hi_s``.
 
     ``events`` and ``samples`` must share only ``keys``; the sample side should carry
     ``SequenceID`` to get ``TimeSegment`` / ``SecTimeSegment`` (seconds crossed since the event
     plus a quarter second per sequence step).
 
-    Strategy: the event side is counted first (it is ~1/84 of the samples). Up to
-    ``broadcast_max_rows`` events it is broadcast, exploded to the 1-2 sample buckets its range
-    covers, and the samples stream through without a shuffle. Above the bound both sides are
-    shuffled on (keys, home bucket) as described in the module doc. The sample side is never
-    broadcast.
+    One plan at every size: an equi join on (keys, home bucket), no count and no hint. Spark picks
+    the physical join, and AQE replaces it at run time by the sizes it has measured (a broadcast
+    of the event side where its bytes are under the session's threshold, a skew split otherwise).
     """
     if bucket_s <= 0 or hi_s < lo_s:
         raise ValueError("need bucket_s > 0 and lo_s <= hi_s")
@@ -52,22 +47,12 @@ def interval_join(events: DataFrame, samples: DataFrame, lo_s: int, hi_s: int,
         cond = (p_us >= e_us + lo_s * _US) & (p_us <= e_us + hi_s * _US)
     else:
         cond = (p_us > e_us + lo_s * _US) & (p_us < e_us + hi_s * _US)
-    small = broadcast_max_rows is not None and events.count() <= broadcast_max_rows
-    if small:
-        # broadcast path: events carry every bucket their range touches; each sample has one
-        evb = ev.withColumn("_jb", F.explode(F.sequence(F.floor((e_us + lo_s * _US) / width),
-                                                        F.floor((e_us + hi_s * _US) / width))))
-        smb = samples.withColumn("_jb", F.floor(p_us / width))
-        joined = F.broadcast(evb).join(smb, on=[*keys, "_jb"], how="inner").where(cond).drop("_jb")
-    else:
-        # shuffle path: each sample goes to the home buckets of the events that can reach it.
-        # Both sides are hashed on (keys, _bucket); the event side is the hash-join build side,
-        # the samples are never sorted for the join, and the output partitioning serves every
-        # per-event Window / aggregate downstream without another shuffle.
-        first = F.floor((p_us - hi_s * _US) / width)
-        last = F.floor((p_us - lo_s * _US) / width)
-        sm = samples.withColumn("_bucket", F.explode(F.sequence(first, last)))
-        joined = ev.hint("shuffle_hash").join(sm, on=[*keys, "_bucket"], how="inner").where(cond)
+    # each sample goes to the home buckets of the events that can reach it; the output's hash
+    # partitioning serves every per-event Window / aggregate downstream without another shuffle
+    first = F.floor((p_us - hi_s * _US) / width)
+    last = F.floor((p_us - lo_s * _US) / width)
+    sm = samples.withColumn("_bucket", F.explode(F.sequence(first, last)))
+    joined = ev.join(sm, on=[*keys, "_bucket"], how="inner").where(cond)
     if "SequenceID" in samples.columns:
         secs = (F.floor(p_us / _US) - F.floor(e_us / _US))
         joined = joined.withColumns({

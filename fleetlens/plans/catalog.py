@@ -6,3 +6,4 @@ from fleetlens.plans import queries_signal  # noqa: F401
 from fleetlens.plans import queries_features  # noqa: F401
 from fleetlens.plans import queries_sinks  # noqa: F401
 from fleetlens.plans import queries_ml  # noqa: F401
+from fleetlens.plans import queries_models  # noqa: F401

@@ -11,7 +11,7 @@ from fleetlens.operators.sinks import one_per_key, preview, run_counters, upsert
 from fleetlens.plans import oracle as O
 from fleetlens.plans import queries_da, queries_features  # noqa: F401  (their oracles are merged below)
 from fleetlens.plans.families import cmb_job, da_job, ecs_events, ecs_features, ecs_job, ecs_scored, esprsp_job, nonsevere_job, overspeed_job
-from fleetlens.plans.queries_core import BAND_SQL
+from fleetlens.plans.queries_core import _OSE_ALL, BAND_SQL
 from fleetlens.plans.queries_signal import _ECS_BASE, _ECS_SCORED
 from fleetlens.plans.registry import ORACLE, register
 from fleetlens.sources import fixtures
@@ -80,7 +80,21 @@ def q_upsert_classification(spark, sf_dir):
                                  fixtures.event_classification_type(spark, sf_dir, t.trips))
 
 
-@register("preview_json")
+def _json(pairs: list[tuple[str, str]]) -> str:
+    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in pairs) + " || '}'"
+
+
+_JSON_ROW = _json([("CompanyID", "CompanyID"), ("VehicleID", "to_json(VehicleID)"), ("TripEventID", "to_json(TripEventID)"),
+                   ("TripEventGuid", "to_json(TripEventGuid)"), ("CreatedDate", "strftime(CreatedDate, '\"%Y-%m-%dT%H:%M:%S.%gZ\"')"),
+                   ("importancescore", "importancescore::varchar")])
+_PREVIEW = (O.with_ctes(*_OSE_ALL, O.COMPANY, O.COMPANY_SETTINGS) + f""", r AS (SELECT *, score AS importancescore,
+  row_number() OVER (PARTITION BY CompanyID ORDER BY TripEventID) AS rn FROM scored),
+rows5 AS (SELECT CompanyID, string_agg({_JSON_ROW}, ',' ORDER BY rn) AS data FROM r WHERE rn <= 5 GROUP BY CompanyID)
+SELECT r5.CompanyID, '{{"header":["' || r5.CompanyID || '","telemetry_shard' || c.ReportShardID || '","' || c.ReportShardID || '"],"data":[' || r5.data || ']}}' AS preview
+FROM rows5 r5 JOIN company_settings s ON r5.CompanyID = s.CompanyID AND s.Data LIKE '%true%' JOIN company c ON r5.CompanyID = c.CompanyID""")
+
+
+@register("preview_json", _PREVIEW)
 def q_preview_json(spark, sf_dir):
     """Per company: JSON header (CompanyID, DatabaseName, ShardID) + first 5 overspeed importance rows."""
     t = Telemetry.derive(spark, sf_dir)

@@ -44,9 +44,9 @@ def in_batch(df: DataFrame, begin, end, col: str = "CreatedDate") -> DataFrame:
 def with_event_dim(trips: DataFrame, dim: DataFrame) -> DataFrame:
     """Inner join with the event-type dimension (events of unknown type drop out).
 
-    The dimension is the catalogue of event types (a few dozen codes), so it is broadcast.
+    The dimension is the catalogue of event types; Spark broadcasts it where its size allows.
     """
-    return trips.join(F.broadcast(dim), "EventID", "inner")
+    return trips.join(dim, "EventID", "inner")
 
 
 def unscored(trips: DataFrame, extra: DataFrame, zero_is_unscored: bool = False) -> DataFrame:

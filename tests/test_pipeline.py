@@ -9,7 +9,7 @@ from conftest import SF_SMOKE
 from fleetlens.operators.interval_join import interval_join, naive_interval_join
 from fleetlens.sources.family import Telemetry, _brake_samples, _event_cols
 
-TABLES = ["events", "embeddings"]
+TABLES = ["events", "embeddings", "documents", "pages", "labels"]
 FAST_ORACLE = [k for k in E.oracle_sql() if k not in ("stream_scores",)]
 
 
@@ -56,13 +56,22 @@ def test_every_query_has_a_callable():
     assert len(E.queries()) >= 55
 
 
-@pytest.mark.parametrize("limit", [None, 10**9])
-def test_bucketed_join_equals_vehicle_join(spark, limit):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_bucketed_join_equals_vehicle_join(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        _bucketed_join_equals_vehicle_join(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _bucketed_join_equals_vehicle_join(spark):
     t = Telemetry.derive(spark, SF_SMOKE)
     ev = _event_cols(t.trips.where(F.col("EventID").isin(32, 4096, 1024)))
     sm = _brake_samples(t, False)
     cols = ["TripEventID", "ppe_n", "SequenceID", "SecTimeSegment"]
-    a = interval_join(ev, sm, -11, 11, broadcast_max_rows=limit).select(*cols)
+    a = interval_join(ev, sm, -11, 11).select(*cols)
     b = naive_interval_join(ev, sm, -11, 11).select(*cols[:-1])
     assert a.count() == b.count() and a.drop("SecTimeSegment").exceptAll(b).count() == 0
 
@@ -76,15 +85,16 @@ def test_interval_bounds_strict_vs_inclusive(spark):
     assert strict == 0 and incl > 0
 
 
-def test_join_plan_never_broadcasts_samples(spark):
+def test_join_plan_has_one_shape_and_no_job(spark):
     t = Telemetry.derive(spark, SF_SMOKE)
     ev = _event_cols(t.trips)
-    big = interval_join(ev, _brake_samples(t, False), -11, 11, broadcast_max_rows=None)
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
-    small = interval_join(ev, _brake_samples(t, False), -11, 11, broadcast_max_rows=10**9)
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "BuildLeft" in plan  # the event side is the broadcast one
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "building the join")
+    joined = interval_join(ev, _brake_samples(t, False), -11, 11)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("plan-only")) == 0
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in plan and "Cross" not in plan and "rightHint" not in plan
 
 
 def test_stream_equals_batch(spark):
