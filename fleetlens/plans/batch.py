@@ -15,19 +15,27 @@ FAMILIES = {"overspeed": overspeed_job, "nonsevere": nonsevere_job, "distance":
 HALF_WIDTH = dt.timedelta(seconds=11)  # no family looks further from its event
 
 
+def samples_near(samples: DataFrame, trips: DataFrame) -> DataFrame:
+    """The samples in the time range of ``trips`` plus the widest half-width.
+
+    The range comes from the events' own first and last time (one row), so the restriction is a
+    comparison with constants and reaches the scan of a table partitioned by date.
+    """
+    first, last = trips.agg(F.min("Timestamp"), F.max("Timestamp")).first()
+    if first is None:
+        return samples.where(F.lit(False))
+    return samples.where((F.col("Timestamp") >= F.lit(first - HALF_WIDTH))
+                         & (F.col("Timestamp") <= F.lit(last + HALF_WIDTH + dt.timedelta(seconds=1))))
+
+
 def batch_telemetry(t: Telemetry, begin: dt.datetime, end: dt.datetime) -> Telemetry:
     """The tables restricted to the events created in [begin, end) and the samples around them.
 
-    The samples' time range comes from the batch's own first and last event time (one row), so
-    both restrictions are plain comparisons with constants and reach the scans: with tables
-    partitioned by date, a 30-minute run reads that date's files only.
+    Both restrictions reach the scans: with tables partitioned by date, a 30-minute run reads
+    that date's files only.
     """
     trips = in_batch(t.trips, begin, end)
-    first, last = trips.agg(F.min("Timestamp"), F.max("Timestamp")).first()
-    if first is None:
-        return replace(t, trips=trips, samples=t.samples.where(F.lit(False)))
-    near = (F.col("Timestamp") >= F.lit(first - HALF_WIDTH)) & (F.col("Timestamp") <= F.lit(last + HALF_WIDTH + dt.timedelta(seconds=1)))
-    return replace(t, trips=trips, samples=t.samples.where(near))
+    return replace(t, trips=trips, samples=samples_near(t.samples, trips))
 
 
 def run_batch(t: Telemetry, begin: dt.datetime, end: dt.datetime, families=tuple(FAMILIES)) -> dict[str, tuple[DataFrame, DataFrame]]:

@@ -259,23 +259,35 @@ def q_shard_routing(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-@register("stream_scores", O.with_ctes(*_OSE_ALL) + imp_sql("scored"))
-def q_stream_scores(spark, sf_dir):
-    """Overspeed importance computed incrementally: trip events land as daily file chunks, a
-    Structured Streaming query (availableNow) scores each micro-batch and writes it idempotently
-    by batch id; the union of the sink equals the batch result."""
+def _streamed(spark, sf_dir, name: str):
+    """Overspeed outputs computed incrementally: trip events land as daily file chunks, a Structured
+    Streaming query (availableNow) scores each micro-batch and writes it idempotently by batch id;
+    the union of the sink equals the batch result."""
     import uuid
 
     from fleetlens.plans.families import overspeed_job
     from fleetlens.session import checkpoint_dir
-    from fleetlens.streaming.stream import run_stream, stage_chunks
+    from fleetlens.streaming.stream import outputs, run_stream, stage_chunks
 
     t = Telemetry.derive(spark, sf_dir)
     run = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     stage_chunks(t.trips, f"{run}/trips")
     q = run_stream(spark, f"{run}/trips", t, f"{run}/sink", f"{run}/checkpoint", overspeed_job)
     q.awaitTermination()
-    return spark.read.parquet(f"{run}/sink").drop("batch_id")
+    return outputs(spark, f"{run}/sink", name).drop("batch_id")
+
+
+@register("stream_scores", O.with_ctes(*_OSE_ALL) + imp_sql("scored"))
+def q_stream_scores(spark, sf_dir):
+    """Overspeed importance computed incrementally (see ``_streamed``)."""
+    return _streamed(spark, sf_dir, "importance").drop("batch_start")
+
+
+@register("stream_labels", O.with_ctes(*_OSE_ALL) + f"""SELECT l.*, {O.BATCH.format(c='t.CreatedDate')} AS batch_start
+FROM ({lab_sql("scored", "score * 100", "score > 0")}) l JOIN trip_event t ON l.CompanyID = t.CompanyID AND l.TripEventID = t.TripEventID""")
+def q_stream_labels(spark, sf_dir):
+    """Overspeed labels computed incrementally, with their 30-minute batch key (see ``_streamed``)."""
+    return _streamed(spark, sf_dir, "labels")
 
 
 @register("stream_join", O.with_ctes(*_BASE, CMB_SRC) + f"SELECT {_CMB_OUT} FROM src")

@@ -38,8 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    Uses ``spark.checkpoint.dir`` when the session names one; otherwise (tests on
-    one machine) creates a scratch folder and registers it.
+    Uses ``spark.checkpoint.dir`` when the session names one. Without it a scratch folder is made
+    for a ``local`` master (tests on one machine); on a cluster, whose executors could not read
+    such a folder, that is an error.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -47,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

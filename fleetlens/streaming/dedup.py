@@ -72,8 +72,6 @@ def stage_ordered_chunks(trips: DataFrame, path: str, days: int = 7, files: int
 def run_dedup_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, gap_s: float,
                      ts: str = "Timestamp", files_per_trigger: int = 4, state_partitions: int | None = None):
     """Stream trip events from ``source_dir`` and append the kept ones to ``sink`` (parquet)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     schema = spark.read.parquet(source_dir).schema
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
          .select("CompanyID", "VehicleID", "TripEventID", F.col(ts).alias("EventTimeStamp"),
@@ -83,4 +81,10 @@ def run_dedup_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint
         outputMode="Append", timeMode="None")
     writer = (kept.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
               .outputMode("append").trigger(availableNow=True))
-    return start_with_partitions(spark, writer, state_partitions)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:  # a query takes its settings when it starts; the session keeps its own
+        return start_with_partitions(spark, writer, state_partitions)
+    finally:
+        spark.conf.set(provider, before)

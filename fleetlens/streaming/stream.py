@@ -2,24 +2,27 @@
 
 * T1 periodic run: ``trigger(availableNow=True)`` (catch up and stop) or ``processingTime``; the
   checkpoint, not a wall clock, remembers which input files are done.
-* T2 batch key: ``batch_start`` = 30-minute window of ``CreatedDate`` (computed in the job).
-* T3 series join: each micro-batch of new trip events is joined with the sample table
-  (stream-static, bucketed interval join), so late-arriving events still meet their samples.
-* T5 idempotent sink: ``foreachBatch`` writes ``<sink>/batch_id=<id>`` with overwrite, so a
-  replayed micro-batch after a failure replaces its own output instead of duplicating it.
-* T6 late data: the stream carries a CreatedDate watermark; each micro-batch reports its event
-  metrics through
-  ``observe`` (count, oldest and newest CreatedDate, so lateness per batch is visible). Late
-  events are still scored — nothing is dropped.
+* T2 batch key: ``batch_start`` = 30-minute window of ``CreatedDate``, a column of both outputs.
+* T3 series join: each micro-batch of new trip events is joined with the samples in the batch's
+  own time range (stream-static, bucketed interval join), so late-arriving events still meet
+  their samples and a micro-batch never scans the whole sample table.
+* T5 idempotent sink: importance and label rows go to ``<sink>/importance`` and ``<sink>/labels``,
+  one folder per micro-batch, overwritten when it is replayed; ``merge_outputs`` upserts them.
+* T6 late data: rows more than ``late_minutes`` older than the newest row of all earlier
+  micro-batches are scored like any other and also stored in ``<sink>/late``; every micro-batch
+  leaves its row count, late count and time span in ``<sink>/progress``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.functions.columns import batch_start
+from fleetlens.plans.batch import samples_near
 from fleetlens.sources.family import Telemetry
 
 
@@ -33,26 +36,61 @@ def stage_chunks(trips: DataFrame, path: str, minutes: int = 24 * 60) -> str:
 def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink: str, checkpoint: str,
                job: Callable[[Telemetry], tuple[DataFrame, DataFrame]], available_now: bool = True,
                files_per_trigger: int = 4, late_minutes: int = 45):
-    """Score trip events as they land in ``trips_dir`` and write importance rows to ``sink``.
+    """Score trip events as they land in ``trips_dir`` and write importance and label rows under ``sink``.
 
     ``job`` is any family job ``Telemetry -> (importance, labels)``; the micro-batch replaces the
     trip table of ``telemetry`` while samples, dimensions and prior scores stay tables.
     """
     schema = spark.read.parquet(trips_dir).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .parquet(trips_dir).withWatermark("CreatedDate", f"{late_minutes} minutes"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(trips_dir)
+    root = sink.rstrip("/")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"late_{batch_id}")
-        keyed = batch.withColumn("batch_start", batch_start("CreatedDate"))
-        keyed = keyed.observe(obs, F.count(F.lit(1)).alias("events"),
-                              F.min("CreatedDate").alias("oldest"), F.max("CreatedDate").alias("newest"))
-        t = Telemetry(trips=keyed.drop("batch_start", "chunk"), samples=telemetry.samples,
-                      event_dim=telemetry.event_dim, extra=telemetry.extra)
-        importance, _labels = job(t)
-        (importance.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}"))
+        batch = batch.drop("chunk").persist()
+        try:
+            out = lambda name, df: df.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+            newest = _newest_before(spark, f"{root}/progress", batch_id)
+            late = batch.where(F.lit(False)) if newest is None else batch.where(
+                F.col("CreatedDate") < F.lit(newest) - F.expr(f"INTERVAL {int(late_minutes)} MINUTES"))
+            out("late", late)
+            span = batch.agg(F.count(F.lit(1)).alias("events"), F.min("CreatedDate").alias("oldest"), F.max("CreatedDate").alias("newest"))
+            t = replace(telemetry, trips=batch, samples=samples_near(telemetry.samples, batch))
+            importance, labels = job(t)
+            key = batch.select("CompanyID", "TripEventID", batch_start("CreatedDate").alias("batch_start"))
+            for name, df in (("importance", importance), ("labels", labels)):
+                out(name, df.join(key, ["CompanyID", "TripEventID"]))
+            out("progress", span.withColumn("late", F.lit(late.count())))
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 minutes")
     return writer.start()
+
+
+def _newest_before(spark: SparkSession, progress: str, batch_id: int):
+    """Newest CreatedDate of the micro-batches before ``batch_id`` (a replay sees the same), or None."""
+    if batch_id == 0:
+        return None
+    seen = spark.read.parquet(progress).where(F.col("batch_id") < batch_id)
+    return seen.agg(F.max("newest")).first()[0]
+
+
+def outputs(spark: SparkSession, sink: str, name: str) -> DataFrame:
+    """Stored rows of ``importance``, ``labels``, ``late`` or ``progress``, with their batch_id."""
+    return spark.read.parquet(f"{sink.rstrip('/')}/{name}")
+
+
+def merge_outputs(spark: SparkSession, sink: str, extra: DataFrame, classes: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both targets after upserting everything the stream has written; of a key's rows the last micro-batch wins."""
+    from fleetlens.operators.sinks import upsert_classification, upsert_importance
+
+    def last(name: str, keys: list[str]) -> DataFrame:
+        rows = outputs(spark, sink, name).drop("batch_start")
+        rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+        best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("r"))
+        return best.select(*keys, "r.*")
+
+    importance = last("importance", ["CompanyID", "VehicleID", "TripEventID", "TripEventGuid"])
+    labels = last("labels", ["CompanyID", "VehicleID", "TripEventID"])
+    return upsert_importance(extra, importance), upsert_classification(classes, labels, types)
