@@ -6,6 +6,7 @@ from fleetlens.llm import fingerprint  # noqa: F401
 from fleetlens.llm import mixing  # noqa: F401
 from fleetlens.llm import minhash  # noqa: F401
 from fleetlens.llm import packing  # noqa: F401
+from fleetlens.llm import pseudonyms  # noqa: F401
 from fleetlens.llm import quality  # noqa: F401
 from fleetlens.llm import secret_scan  # noqa: F401
 from fleetlens.llm import suffixes  # noqa: F401
