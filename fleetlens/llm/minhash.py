@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from fleetlens.llm.common import fresh, load, query, stage
 from fleetlens.llm.graph import components
@@ -373,16 +373,21 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per class, that of the smallest doc_id (then row hash), all columns kept."""
+    """One row of ``docs`` per class, that of the smallest doc_id (then row hash), all columns kept.
+
+    The winners are found on keys alone; the texts move once, in the join with the winners,
+    whose partitioning also serves the choice among rows that are equal in everything.
+    """
     rows, label = text_classes(docs)
-    tid, rest, key = fresh(docs, "mh_tid", "mh_rest", "mh_key")
-    keyed = docs.withColumns({tid: content_key(F.col("text")), rest: F.xxhash64(*docs.columns)})
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", rest, tid)).alias("w")
+    tid, row, at = fresh(docs, "mh_tid", "mh_row", "mh_at")
+    hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    keyed = docs.withColumns({tid: content_key(F.col("text")), row: F.xxhash64(*[F.col(f"`{c}`") for c in hashed])})
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", row, tid)).alias("w")
     winners = keyed.groupBy(tid).agg(best).join(label.select(F.col("tid").alias(tid), "label"), tid, "left")
     winners = winners.groupBy(F.coalesce("label", tid).alias("label")).agg(F.min("w").alias("w"))
-    winners = winners.select(*[F.col(f"w.{c}").alias(f"{key}_{i}") for i, c in enumerate(("doc_id", rest, tid))])
-    same = keyed["doc_id"].eqNullSafe(winners[f"{key}_0"]) & (keyed[rest] == winners[f"{key}_1"]) & (keyed[tid] == winners[f"{key}_2"])
-    return keyed.join(winners, same).dropDuplicates([tid]).select(*docs.columns)
+    kept = keyed.join(winners.select(F.col(f"w.{tid}").alias(tid), F.col(f"w.{row}").alias(row)), [tid, row])
+    first = F.row_number().over(Window.partitionBy(tid, row).orderBy(F.lit(0)))
+    return kept.withColumn(at, first).where(F.col(at) == 1).select(*docs.columns)
 
 
 @query("op1_minhash_dedup")
