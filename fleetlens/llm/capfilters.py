@@ -204,9 +204,10 @@ def near_vectors(table: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.count("*").alias("copies"), F.min("vec_id").alias("least")), "cap-distinct")
     found = stage(vector_links(distinct, kind, cosine), "cap-links")
     counted = found.where("v IS NULL").groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
-    label = components(found.where("v IS NOT NULL")).select(F.col("node").alias("cid"), F.col("label").alias("top"))
-    of = (distinct.select("cid", "copies", "least").join(counted, "cid", "left").join(label, "cid", "left")
-          .withColumn("top", F.coalesce("top", "cid")))
+    node = F.xxhash64("cid")  # links and components are kept by number
+    label = components(found.where("v IS NOT NULL").select(F.xxhash64("u").alias("u"), F.xxhash64("v").alias("v"))).select(F.col("node").alias("nid"), F.col("label").alias("top"))
+    of = (distinct.select("cid", "copies", "least", node.alias("nid")).join(counted, "cid", "left").join(label, "nid", "left")
+          .withColumn("top", F.coalesce("top", "nid")))
     ids = of.groupBy("top").agg(F.min("least").alias("component_id"))
     of = of.join(ids, "top").select("cid", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), "component_id")
     out = keyed.select("vec_id", "cid").join(of, "cid", "left")

@@ -8,25 +8,23 @@ from fleetlens.llm.common import stage
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node, label (smallest node reachable) for every node of ``edges`` (columns u, v).
+    """node, label (smallest node reachable) for every node of ``edges`` (columns u, v: long).
 
-    Every round each node's parent is lowered to the smallest grandparent among itself, its
-    neighbours and its children's neighbours, so chains halve and stars collapse at once. All
-    updates are minima, aggregated map-side, so a hub's updates never meet in one task. Each
-    round's parents are written to the shared folder. Raises if it has not converged.
+    Every round a node's label becomes the smallest label among its own and its neighbours', and
+    then that label's label: stars collapse at once and chains halve. Labels only fall, the
+    smallest node of a component keeps its own, and without a change all of a component's
+    labels are equal. Minima are aggregated map-side, so a hub's neighbours never meet in one
+    task. Each round is written to the shared folder. Raises if it has not converged.
     """
     both = stage(edges.select("u", "v").union(edges.select("v", "u")).where("u <> v").distinct(), "cc-edges")
-    parents = stage(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("parent")), "cc-parents")
+    labels = stage(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
+                   .select("node", F.least("node", "m").alias("label"), F.lit(True).alias("changed")), "cc-labels")
     for _ in range(max_rounds):
-        up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-        grand = parents.join(up, "parent").select("node", "parent", "grand")
-        near = (both.join(grand.select(F.col("node").alias("v"), F.col("grand").alias("g")), "v")
-                .groupBy(F.col("u").alias("node")).agg(F.min("g").alias("g")))
-        low = grand.join(near, "node").select("node", "parent", F.least("grand", "g").alias("g"))
-        moves = low.select("node", "g").union(low.select(F.col("parent").alias("node"), "g"))
-        after = stage(moves.groupBy("node").agg(F.min("g").alias("parent")), "cc-parents")
-        changed = after.join(parents.withColumnRenamed("parent", "was"), "node").where("parent <> was").limit(1).count()
-        parents = after
-        if not changed:
-            return parents.withColumnRenamed("parent", "label")
+        near = (both.join(labels.select(F.col("node").alias("v"), "label"), "v")
+                .groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near")))
+        low = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("low"))
+        up = low.select(F.col("node").alias("low"), F.col("low").alias("top"))
+        labels = stage(low.join(up, "low").select("node", F.col("top").alias("label"), (F.col("top") < F.col("was")).alias("changed")), "cc-labels")
+        if not labels.where("changed").limit(1).count():
+            return labels.select("node", "label")
     raise RuntimeError(f"components did not converge in {max_rounds} rounds")

@@ -258,22 +258,22 @@ def _by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pd.DataFr
 
 
 def linked(members: DataFrame, texts: DataFrame, tables) -> DataFrame:
-    """Links (u, v) among the texts of each group; ``members`` has group (long) and tid.
+    """Links (u, v) among the texts of each group; ``members`` has group and nid (both long).
 
     Groups are bounded by their makers. Only a spanning forest of each group's links leaves it.
     """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _by_group(batches, "group"):
-            g = g.drop_duplicates("tid")
-            tid = g["tid"].tolist()
-            if len(tid) < 2:
+            g = g.drop_duplicates("nid")
+            nid = g["nid"].tolist()
+            if len(nid) < 2:
                 continue
             found = forest(similar_pairs(g["text"].tolist(), tables.value))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([tid[p[k]] for p in found], pa.binary()) for k in (0, 1)], names=["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array([nid[p[k]] for p in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-    rows = members.join(texts, "tid").select("group", "tid", "text")
-    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(compare, "u binary, v binary").distinct()
+    rows = members.join(texts, "nid").select("group", "nid", "text")
+    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(compare, "u long, v long")
 
 
 def _equal_samples(a: pd.Series, b: pd.Series) -> np.ndarray:
@@ -283,55 +283,62 @@ def _equal_samples(a: pd.Series, b: pd.Series) -> np.ndarray:
     return (x == y).sum(axis=1).astype(np.int32)
 
 
+def node_id(tid: Column) -> Column:
+    """64-bit number of a text: what buckets, links and classes are kept by."""
+    return F.xxhash64(tid)
+
+
 def links(signed: DataFrame, docs: DataFrame, tables) -> DataFrame:
-    """Links between different texts. ``signed`` is the stored table of ``signatures``."""
-    distinct = stage(signed.groupBy("tid").agg(F.min("doc_id").alias("doc_id"), F.first("sample").alias("sample"), F.first("bands").alias("bands")), "minhash-texts")
-    banded = distinct.where("bands IS NOT NULL").select("tid", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("tid") % (1 << 50)).alias("who")).where("n > 1")
+    """Links (u, v) between different texts by number. ``signed`` is the stored table of ``signatures``."""
+    distinct = stage(signed.groupBy("tid").agg(F.min("doc_id").alias("doc_id"), F.first("sample").alias("sample"), F.first("bands").alias("bands"))
+                     .where("bands IS NOT NULL").withColumn("nid", node_id(F.col("tid"))), "minhash-texts")
+    banded = distinct.select("nid", F.explode("bands").alias("bucket"))
+    full = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("nid") % (1 << 50)).alias("who")).where("n > 1")
     inside = stage(banded.join(full, "bucket"), "minhash-buckets")
 
     # only texts in some bucket with others are ever compared: one row of each
-    wanted = inside.select("tid").distinct().join(distinct.select("tid", "doc_id"), "tid").select("tid", F.col("doc_id").alias("_id"))
+    score = stage(inside.groupBy("nid").agg(F.sum("n").alias("score")), "minhash-scores")
+    wanted = distinct.join(score, "nid").select("tid", "nid", F.col("doc_id").alias("_id"))
     keyed = docs.select(F.col("doc_id").alias("_id"), "text", content_key(F.col("text")).alias("tid"))
-    texts = keyed.join(wanted, (keyed["tid"] == wanted["tid"]) & keyed["_id"].eqNullSafe(wanted["_id"])).select(keyed["tid"], "text")
-    texts = stage(texts.dropDuplicates(["tid"]), "minhash-candidates")
-    sign = distinct.select("tid", "sample")
+    texts = keyed.join(wanted, (keyed["tid"] == wanted["tid"]) & keyed["_id"].eqNullSafe(wanted["_id"])).select("nid", "text")
+    texts = stage(texts, "minhash-candidates")  # rows equal in id and text stay: comparisons drop them by number
+    sign = distinct.select("nid", "sample")
 
     # 1. each text and its hub: the bucket mate that sits in the fullest buckets
-    rank = inside.groupBy("tid").agg(F.sum("n").alias("score"))
-    hubs = (inside.join(rank, "tid").groupBy("bucket").agg(F.max(F.struct("score", F.col("tid").alias("hub"))).alias("h"))
+    hubs = (inside.join(score, "nid").groupBy("bucket").agg(F.max(F.struct("score", F.col("nid").alias("hub"))).alias("h"))
             .select("bucket", "h.score", "h.hub"))
-    pairs = inside.join(hubs, "bucket").where("tid <> hub").select("tid", "hub", "score").distinct()
+    pairs = inside.join(hubs, "bucket").where("nid <> hub").select("nid", "hub", "score").distinct()
     equal = F.pandas_udf(lambda a, b: pd.Series(_equal_samples(a, b)), "int")
-    near = (pairs.join(sign, "tid").join(sign.select(F.col("tid").alias("hub"), F.col("sample").alias("hub_sample")), "hub")
+    near = (pairs.join(sign, "nid").join(sign.select(F.col("nid").alias("hub"), F.col("sample").alias("hub_sample")), "hub")
             .withColumn("same", equal("sample", "hub_sample")).where(F.col("same") >= SIFT)
-            .groupBy("tid").agg(F.max(F.struct("same", "score", "hub")).alias("h")).select("tid", "h.hub"))
+            .groupBy("nid").agg(F.max(F.struct("same", "score", "hub")).alias("h")).select("nid", "h.hub"))
     near = stage(near, "minhash-hubs")
     chunks = near.groupBy("hub").agg((F.count("*") / F.lit(CHUNK) + 1).cast("int").alias("chunks"))
-    dealt = near.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("tid"), F.col("chunks")).cast("int"))
+    dealt = near.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("nid"), F.col("chunks")).cast("int"))
     group = F.xxhash64("hub", "chunk").alias("group")
-    members = dealt.select(group, "tid").union(
-        chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(group, F.col("hub").alias("tid")))
+    members = dealt.select(group, "nid").union(
+        chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(group, F.col("hub").alias("nid")))
     found = stage(linked(members, texts, tables), "minhash-links")
 
     # 2. buckets that hold several classes yet; of buckets with the same members, one
     label = components(found)
-    open_ = (inside.join(label.withColumnRenamed("node", "tid"), "tid", "left")
-             .withColumn("label", F.coalesce("label", "tid")))
+    open_ = (inside.join(label.withColumnRenamed("node", "nid"), "nid", "left")
+             .withColumn("label", F.coalesce("label", "nid")))
     open_ = stage(open_, "minhash-open")
     sizes = open_.groupBy("bucket", "n", "who", "label").agg(F.count("*").alias("k"))
     several = (sizes.groupBy("bucket", "n", "who").agg(F.count("*").alias("classes"), F.max(F.struct("k", "label")).alias("main"))
                .where("classes > 1"))
-    several = several.join(several.groupBy("n", "who").agg(F.min("bucket").alias("bucket")), ["bucket", "n", "who"], "left_semi")
-    several = several.select("bucket", F.col("main.label").alias("main"), (F.col("n") / F.lit(CHUNK) + 1).cast("int").alias("blocks"))
-    rows = (open_.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
+    several = several.groupBy("n", "who").agg(F.min(F.struct("bucket", F.col("main.label").alias("main"))).alias("one"))
+    several = several.select("one.bucket", "one.main", (F.col("n") / F.lit(CHUNK) + 1).cast("int").alias("blocks"))
+    rows = (open_.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
             .withColumn("minor", F.col("label") != F.col("main")))
     # block pair (i, j): what the main class has in block i meets the rest in block j, and the rest among itself
     spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("tid", "label", "minor", F.when(F.col("minor"), F.xxhash64("bucket", "other", "block"))
-                           .otherwise(F.xxhash64("bucket", "block", "other")).alias("group"))
-    cross = rows.where("minor AND blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block")
-    cross = cross.select("tid", "label", "minor", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"), F.lit(-1)).alias("group"))
+    group = F.when(F.col("minor"), F.xxhash64("bucket", "other", "block")).otherwise(F.xxhash64("bucket", "block", "other"))
+    # and the rest of two different blocks: that pair's own group
+    among = F.when(F.col("minor") & (F.col("other") != F.col("block")),
+                   F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other"), F.lit(-1)))
+    spread = spread.select("nid", "label", F.explode(F.array_compact(F.array(group, among))).alias("group"))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _by_group(batches, "group"):
@@ -344,31 +351,31 @@ def links(signed: DataFrame, docs: DataFrame, tables) -> DataFrame:
                 hit[i + 1:] |= near
             if hit.any():
                 got = g[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(got["group"], pa.int64()), pa.array(got["tid"], pa.binary())], names=["group", "tid"])
+                yield pa.RecordBatch.from_arrays([pa.array(got["group"], pa.int64()), pa.array(got["nid"], pa.int64())], names=["group", "nid"])
 
-    sifted = (spread.union(cross).join(sign, "tid").select("group", "tid", "label", "sample")
-              .repartition("group").sortWithinPartitions("group").mapInArrow(sift, "group long, tid binary"))
+    sifted = (spread.join(sign, "nid").select("group", "nid", "label", "sample")
+              .repartition("group").sortWithinPartitions("group").mapInArrow(sift, "group long, nid long"))
     more = linked(stage(sifted, "minhash-sifted"), texts, tables)
     return stage(found.union(more), "minhash-links")
 
 
 def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows: doc_id, tid), (classes of texts in links: tid, label)."""
+    """(rows: doc_id, tid, nid), (classes of the texts in links: nid, label)."""
     table, rows = frequency_sketch(docs)
     tables = docs.sparkSession.sparkContext.broadcast(idf_tables(table, rows))  # 8 MB, fixed
     signed = stage(signatures(docs, tables), "minhash-signatures")
-    label = components(links(signed, docs, tables)).withColumnRenamed("node", "tid")
-    return signed.select("doc_id", "tid"), label
+    label = components(links(signed, docs, tables)).withColumnRenamed("node", "nid")
+    return signed.select("doc_id", "tid", node_id(F.col("tid")).alias("nid")), label
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id and class_id of every row, and whether it is the one its class keeps."""
     rows, label = text_classes(docs)
-    per_text = rows.groupBy("tid").agg(F.min("doc_id").alias("first"))
-    per_text = per_text.join(label, "tid", "left").withColumn("label", F.coalesce("label", "tid"))
+    per_text = rows.groupBy("nid").agg(F.min("doc_id").alias("first"))
+    per_text = per_text.join(label, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     per_class = per_text.groupBy("label").agg(F.min("first").alias("class_id"))
-    of_text = per_text.join(per_class, "label").select("tid", "class_id")
-    return (rows.join(of_text, "tid")
+    of_text = per_text.join(per_class, "label").select("nid", "class_id")
+    return (rows.join(of_text, "nid")
             .select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")))
 
 
@@ -383,8 +390,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
     keyed = docs.withColumns({tid: content_key(F.col("text")), row: F.xxhash64(*[F.col(f"`{c}`") for c in hashed])})
     best = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", row, tid)).alias("w")
-    winners = keyed.groupBy(tid).agg(best).join(label.select(F.col("tid").alias(tid), "label"), tid, "left")
-    winners = winners.groupBy(F.coalesce("label", tid).alias("label")).agg(F.min("w").alias("w"))
+    winners = keyed.groupBy(node_id(F.col(tid)).alias("nid")).agg(best).join(label, "nid", "left")
+    winners = winners.groupBy(F.coalesce("label", "nid").alias("label")).agg(F.min("w").alias("w"))
     kept = keyed.join(winners.select(F.col(f"w.{tid}").alias(tid), F.col(f"w.{row}").alias(row)), [tid, row])
     first = F.row_number().over(Window.partitionBy(tid, row).orderBy(F.lit(0)))
     return kept.withColumn(at, first).where(F.col(at) == 1).select(*docs.columns)
