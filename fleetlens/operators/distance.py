@@ -19,10 +19,10 @@ def _ordered() -> Window:
 
 
 def require_columns(df: DataFrame, cols=REQUIRED) -> None:
-    """Raise on a missing input column (schema check, no job)."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required column: {missing[0]}")
+    """Check the schema (no job): all columns the cleaning needs must be there."""
+    absent = sorted(set(cols) - set(df.columns))
+    if absent:
+        raise ValueError(f"distance-alert samples lack {', '.join(absent)}")
 
 
 def remove_noise(df: DataFrame, run: int = 2, extend: int = 2, max_speed: float = 230) -> DataFrame:

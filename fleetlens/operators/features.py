@@ -21,9 +21,8 @@ from fleetlens.operators.interval_join import EVENT_PART
 
 ORDER = ("SecTimeSegment", "ppe_n")
 EVENT_KEYS = ["CompanyID", "VehicleID", "DriverID", "TripEventID", "TripEventGuid", "CreatedDate"]
-CARRY = ["_bucket", "batch_start", "n", "EventID", "isSevere"]
 
-# final feature columns, in output order (names are the model's input names)
+# ---- fixed values: model input names and drop lists, in output order
 FEATURES = (
     "AbsVal_TF_Moving_Deltamean", "AbsVal_TF_Moving_Deltasum", "AbsVal_TF_Moving_Deltastd", "ppeSpeedmin",
     "AbsDiffBrakingForcemean", "AbsDiffBrakingForcesum", "AbsDiffBrakingForcestd", "AbsDiffBrakingForcemax",
@@ -40,6 +39,8 @@ ESP_DROPPED = ("DeltaSpeedRatiomax", "EndSpeedOverStartSpeedmin", "AfterZeroBrak
 CMB_MODEL_INPUTS = tuple(f for f in FEATURES if f not in CMB_DROPPED)
 ESP_MODEL_INPUTS = tuple(f for f in FEATURES + ("abscountlast",) if f not in ESP_DROPPED)
 
+# ----
+
 # columns that make a sample row distinct inside one event (besides the event keys)
 _ROW_COLS = ["ppeTimeStamp", "TimeSegment", "SecTimeSegment", "ppeSpeed", "ppeBrakingForce", "ppeTurningForce",
              "ppeCurvature", "ppeBrakePercentage", "PrevTF", "PrevPrevTF", "CenterDifferenceDeviation",
@@ -114,7 +115,7 @@ def with_event_values(rows: DataFrame) -> DataFrame:
         "BrakeOnCount": F.count(F.when(absbf > 0.1, 1)).over(wa),
         "Max_AbsValTurningForce": F.max("AbsValTurningForce").over(wa),
         "Max_AbsValBrakingForce": F.max("AbsValBrakingForce").over(wa),
-        "Lastest_PPESpeed": _last_nonnull("ppeSpeed", F.lit(True)).over(wa),
+        "Last_PPESpeed": _last_nonnull("ppeSpeed", F.lit(True)).over(wa),
         "Sum_CenterDifferenceDeviation": F.coalesce(F.sum("CenterDifferenceDeviation").over(wa), F.lit(0.0)),
         "Max_CenterDifferenceDeviation": F.max("CenterDifferenceDeviation").over(wa),
         "Sum_TFCenterDeviation": F.coalesce(F.sum("TFCenterDeviation").over(wa), F.lit(0.0)),
@@ -132,7 +133,7 @@ def with_event_values(rows: DataFrame) -> DataFrame:
 
 EVENT_VALUE_COLS = ("DeltaSpeedBeforeZero", "DeltaSpeedAfterZero", "DeltaSpeedRatio", "EndSpeedOverStartSpeed",
                     "SpeedChangeEnds", "Min_First_SecTimeSegment", "Max_Last_SecTimeSegment", "AfterZeroBrakeOnCount",
-                    "BrakeOnCount", "Max_AbsValTurningForce", "Max_AbsValBrakingForce", "Lastest_PPESpeed",
+                    "BrakeOnCount", "Max_AbsValTurningForce", "Max_AbsValBrakingForce", "Last_PPESpeed",
                     "Sum_CenterDifferenceDeviation", "Max_CenterDifferenceDeviation", "Sum_TFCenterDeviation",
                     "Max_TFCenterDeviation", "Sum_BFCenterDeviation", "Max_BFCenterDeviation", "SIC")
 

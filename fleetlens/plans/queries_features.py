@@ -52,7 +52,7 @@ def _ev(with_abs: bool) -> str:
         CASE WHEN count(*) FILTER (WHERE AbsValBrakingForce <= 0.1) > 0 THEN -10.0e0 END) AS Max_Last_SecTimeSegment,
   count(AbsValBrakingForce) AS AfterZeroBrakeOnCount, count(*) FILTER (WHERE AbsValBrakingForce > 0.1) AS BrakeOnCount,
   max(AbsValTurningForce) AS Max_AbsValTurningForce, max(AbsValBrakingForce) AS Max_AbsValBrakingForce,
-  arg_max(ppeSpeed, {_ORD}) FILTER (WHERE ppeSpeed IS NOT NULL) AS Lastest_PPESpeed,
+  arg_max(ppeSpeed, {_ORD}) FILTER (WHERE ppeSpeed IS NOT NULL) AS Last_PPESpeed,
   coalesce(sum(CenterDifferenceDeviation), 0.0e0) AS Sum_CenterDifferenceDeviation,
   max(CenterDifferenceDeviation) AS Max_CenterDifferenceDeviation,
   coalesce(sum(TFCenterDeviation), 0.0e0) AS Sum_TFCenterDeviation, max(TFCenterDeviation) AS Max_TFCenterDeviation,
@@ -150,7 +150,7 @@ _event_key("brake_interval", ["Min_First_SecTimeSegment", "Max_Last_SecTimeSegme
            "First / last braking second (|BF| > 0.1), widened to 10 / -10 when any sample is off the brake.")
 _event_key("brake_count", ["AfterZeroBrakeOnCount", "BrakeOnCount"],
            "Non-null braking samples (the feature as defined) and the true brake-on count.")
-_event_key("event_extrema", ["Max_AbsValTurningForce", "Max_AbsValBrakingForce", "Lastest_PPESpeed"],
+_event_key("event_extrema", ["Max_AbsValTurningForce", "Max_AbsValBrakingForce", "Last_PPESpeed"],
            "Per-event max |TF|, max |BF| and last non-null speed.")
 _event_key("abs_run_count", ["abscount"], "Runs of consecutive ABS-active samples per ESP/RSP event.", esp=True)
 

@@ -19,9 +19,3 @@ LABEL_BANDS = ((1, 39, LABEL_LOW), (40, 69, LABEL_MID), (70, 100, LABEL_HIGH))
 CLASSIFIED_BY = "AER Classification"
 ROSTER_SETTING = "AutoEventClassification"
 # ---------------------------------------------------------------------------
-
-EVENT_KEY = ("CompanyID", "TripEventID")
-IMPORTANCE_COLS = ("CompanyID", "VehicleID", "TripEventID", "TripEventGuid", "CreatedDate", "importancescore")
-LABEL_COLS = ("CompanyID", "VehicleID", "DriverID", "TripEventID", "ClassificationName", "Timestamp", "By")
-SAMPLE_COLS = ("Speed", "TurningForce", "Curvature", "BrakingForce", "BrakePercentage",
-               "SpeedForwardVehicle", "DistanceForwardVehicle", "Abs")

@@ -223,3 +223,31 @@ def test_upsert_stops_on_duplicate_keys(spark):
     types = spark.createDataFrame([(1, 1, "L"), (1, 2, "L")], "CompanyID int, Type int, Name string")
     with pytest.raises(Exception, match="more than one row"):
         resolve_labels(labels, types).collect()
+
+
+def test_missing_columns_are_all_named(spark):
+    from fleetlens.operators.distance import REQUIRED, require_columns
+    full = spark.createDataFrame([(0,) * len(REQUIRED)], ", ".join(f"{c} int" for c in REQUIRED))
+    require_columns(full)
+    first, second = sorted(REQUIRED)[:2]
+    with pytest.raises(ValueError, match=f"{first}, {second}"):
+        require_columns(full.drop(first, second))
+
+
+def test_routing_misses_are_kept_apart(spark):
+    from fleetlens.operators.routing import split_routed
+    routed = spark.createDataFrame([(1, "server-a"), (2, None)], "CompanyID int, Server string")
+    hit, miss = split_routed(routed)
+    assert [r[0] for r in hit.collect()] == [1] and [r[0] for r in miss.collect()] == [2]
+
+
+def test_constant_column_rule_and_null_flag(spark):
+    from fleetlens.operators.scoring import batch_zscore, scope_stats
+    rows = [(1, 1e9 + i * 1e-3, 5.0, None if i == 2 else 1.0) for i in range(4)]
+    df = spark.createDataFrame(rows, "CompanyID int, big double, same double, holes double")
+    got = batch_zscore(df, ["big", "same", "holes"], scope=("CompanyID",), had_null="had_null").orderBy("had_null", "big").collect()
+    assert [r["had_null"] for r in got] == [False, False, False, True]
+    assert max(abs(r["big"]) for r in got) > 1  # varies by a 1e-12 part of its mean: no constant
+    assert {r["same"] for r in got} == {0.0}
+    fitted = scope_stats(spark.createDataFrame([(1, 0.0), (1, 2.0)], "CompanyID int, big double"), ["big"], ("CompanyID",))
+    assert batch_zscore(df.limit(1), ["big"], ("CompanyID",), fitted=fitted).first()["big"] == pytest.approx(1e9 - 1)
