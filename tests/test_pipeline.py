@@ -134,3 +134,42 @@ def test_versioned_table_reads_latest(spark, tmp_path):
     save_version(spark.createDataFrame([(1, 0.7), (2, 0.1)], "k int, s double"), base, "2")
     got = sorted(tuple(r) for r in latest_version(spark, base).collect())
     assert got == [(1, 0.7), (2, 0.1)]
+
+
+def test_stream_outputs_merge_to_the_batch_result(spark, tmp_path):
+    from fleetlens.operators.sinks import upsert_classification, upsert_importance
+    from fleetlens.plans.families import overspeed_job
+    from fleetlens.sources import fixtures
+    from fleetlens.streaming.stream import merge_outputs, outputs, run_stream, stage_chunks
+    t = Telemetry.derive(spark, SF_SMOKE)
+    sink = str(tmp_path / "sink")
+    stage_chunks(t.trips, str(tmp_path / "trips"), minutes=7 * 24 * 60)
+    run_stream(spark, str(tmp_path / "trips"), t, sink, str(tmp_path / "ckpt"), overspeed_job, files_per_trigger=2).awaitTermination()
+    progress = outputs(spark, sink, "progress").agg(F.sum("events"), F.sum("late")).first()
+    assert progress[0] == t.trips.count()
+    assert progress[1] == outputs(spark, sink, "late").count()
+    classes = fixtures.event_classification(spark, SF_SMOKE, t.trips)
+    types = fixtures.event_classification_type(spark, SF_SMOKE, t.trips)
+    importance, labels = overspeed_job(t)
+    got = merge_outputs(spark, sink, t.extra, classes, types)
+    want = (upsert_importance(t.extra, importance), upsert_classification(classes, labels, types))
+    for a, b in zip(got, want):
+        assert a.count() == b.count() and a.select(*b.columns).exceptAll(b).count() == 0
+
+
+def test_batch_run_reads_only_its_dates(spark, tmp_path):
+    """With tables partitioned by date, a batch's filters reach both scans."""
+    import datetime as dt
+
+    from fleetlens.plans.batch import batch_telemetry
+    t = Telemetry.derive(spark, SF_SMOKE)
+    for name, df in (("trips", t.trips), ("samples", t.samples)):
+        df.withColumn("day", F.to_date("Timestamp")).write.partitionBy("day").parquet(str(tmp_path / name))
+    stored = Telemetry(trips=spark.read.parquet(str(tmp_path / "trips")), samples=spark.read.parquet(str(tmp_path / "samples")),
+                       event_dim=t.event_dim, extra=t.extra)
+    begin = dt.datetime(2024, 1, 20)
+    part = batch_telemetry(stored, begin, begin + dt.timedelta(minutes=30))
+    for df, col in ((part.trips, "CreatedDate"), (part.samples, "Timestamp")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters"):].split("]")[0] if "PushedFilters" in plan else "LocalTableScan"
+        assert f"GreaterThanOrEqual({col}" in pushed and "LessThan" in pushed or "LocalTableScan" in plan
