@@ -141,14 +141,16 @@ def is_noise(node: Node, in_article: bool) -> bool:
     """Never article text, by the element's meaning (tag, role, class and id words)."""
     if node.noise is None:
         noise = node.tag in NOISE or node.tag == "header" and not in_article
-        if not noise and node.attrs and node.tag not in ("html", "body", "article", "main", "p", "h1"):
+        if not noise and node.attrs and node.tag not in ("html", "body", "main", "h1"):
             a = attributes(node)
             words = WORD.findall(a.get("class", "") + " " + a.get("id", ""))
-            noise = (a.get("role") in ROLES or "hidden" in node.attrs.lower().split() or a.get("aria-hidden") == "true"
-                     or any(w in HINTS or w.startswith(HINT_STARTS) or w == "header" and not in_article for w in words))
-            noise = noise and next(find(node, ("article", "main")), None) is None
-        elif not noise and node.attrs and node.tag in ("article", "p"):
-            noise = any(w.startswith(("comment", "advert")) for w in WORD.findall(attributes(node).get("class", "")))
+            if node.tag == "article":
+                noise = any(w.startswith(("comment", "advert")) for w in words)
+            else:
+                noise = (a.get("role") in ROLES or "hidden" in node.attrs.lower().split() or a.get("aria-hidden") == "true"
+                         or "display:none" in a.get("style", "").replace(" ", "")
+                         or any(w in HINTS or w.startswith(HINT_STARTS) or w == "header" and not in_article for w in words))
+                noise = noise and next(find(node, ("article", "main")), None) is None
         node.noise = noise
     return node.noise
 

@@ -196,6 +196,7 @@ def test_extraction_of_single_pages(spark):
         page("<header>h</header><div id='content'>loose <i>text</i><script>var t='<p>no</p>';</script><form>f</form></div><aside>a</aside>"): "loose text",
         page("<main><div class='cookie-notice'>c</div><p>x</p><section class='comments'><p>c</p></section><div class='advert'>a</div></main>"): "x",
         page("<article><p>keep</p><ol class=comment-list><li>no</ol></article><article class='comment'><p>no</p></article>"): "keep",
+        page("<article><p class='notice'>n</p><p style='display: none'>h</p><p class=lead>lead</p><div role=complementary>r</div></article>"): "lead",
         "<p>a<p>b<!-- <p>c</p> --><table><tr><td>1<td>2<tr><td>3</table>": "a\n\nb\n\n1 2\n\n3",
         None: "", "": "", "<html><body></body>": "",
         "plain &lt;text&gt; <b>unclosed": "plain <text> unclosed",
