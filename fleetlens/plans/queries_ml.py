@@ -11,7 +11,7 @@ from fleetlens.ml.models import compare_models, fit_lda, grid_search, lda_scores
 from fleetlens.plans import oracle as O
 from fleetlens.plans.registry import register
 
-_FOLDS_SQL = """SELECT id, y, cast((row_number() OVER (PARTITION BY y ORDER BY id % 64, (id * 7919 + 0) % 10007, id) - 1) % 5 AS integer) AS fold
+_FOLDS_SQL = """SELECT id, y, cast((row_number() OVER (PARTITION BY y ORDER BY (id * 7919 + 0) % 10007, id) - 1) % 5 AS integer) AS fold
 FROM (SELECT vec_id AS id, cast(label = 0 AS integer) AS y FROM embeddings)"""
 
 

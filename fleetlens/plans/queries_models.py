@@ -102,7 +102,7 @@ def q_batch_run_scores(spark, sf_dir):
 _TRAIN = """WITH v AS (SELECT vec_id AS id, cast(label = 0 AS integer) AS y, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
 st AS (SELECT d, avg(v) AS mu, stddev_pop(v) AS sd FROM v GROUP BY d),
 z AS (SELECT id, y, list((v - mu) / CASE WHEN sd > 1e-12 THEN sd ELSE 1 END ORDER BY d) AS x FROM v JOIN st USING (d) GROUP BY id, y),
-f AS (SELECT id, (row_number() OVER (PARTITION BY y ORDER BY id % 64, (id * 7919 + 0) % 10007, id) - 1) % 5 AS fold FROM z),
+f AS (SELECT id, (row_number() OVER (PARTITION BY y ORDER BY (id * 7919 + 0) % 10007, id) - 1) % 5 AS fold FROM z),
 tr AS (SELECT z.* FROM z JOIN f USING (id) WHERE fold <> 0),
 mi AS (SELECT * FROM tr WHERE y = 1),
 nn AS (SELECT * FROM (SELECT a.id, b.id AS nn_id, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.x, b.x), b.id) AS rank
