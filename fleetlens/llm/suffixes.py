@@ -24,6 +24,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -83,20 +84,21 @@ def suffix_array(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarr
     text = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64) + len(strings)
     ends = np.cumsum(size + 1) - 1
     text[ends] = np.arange(len(strings))  # every string ends in a sign of its own
-    _, rank = np.unique(text, return_inverse=True)
+    rank = text
     ranks, step = [rank], 1
     while step < depth:
-        key = rank * (len(rank) + 1)
+        key = rank * (int(rank.max()) + 2)
         key[:-step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        sorted_ = key[order]
         new = np.empty_like(rank)
-        new[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
+        new[order] = np.cumsum(np.concatenate([[0], sorted_[1:] != sorted_[:-1]]))
         rank = new
         ranks.append(rank)
         step *= 2
-        if rank.max() == len(rank) - 1:
+        if rank[order[-1]] == len(rank) - 1:
             break
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     a, b = order[:-1].copy(), order[1:].copy()
     common = np.zeros(len(a), dtype=np.int64)
     for k in range(len(ranks) - 1, -1, -1):
@@ -173,21 +175,40 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, tid binary, packed binary")
 
 
+def _several(groups: Iterator[pd.DataFrame], size: int = 1 << 18) -> Iterator[pd.DataFrame]:
+    """Small groups put together for one suffix array: equal windows never lie in two groups."""
+    held, total = [], 0
+    for g in groups:
+        held.append(g)
+        total += g["bytes"].str.len().sum()
+        if total >= size:
+            yield pd.concat(held, ignore_index=True)
+            held, total = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _compared(units: DataFrame, length: int) -> DataFrame:
     """anchor, seg, lo, hi: repeated windows of each unit, found in the suffix array of its group.
 
     ``units``: group, anchor, seg, skip (windows of the segment before the unit) and bytes.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _by_group(batches, "group"):
+        for g in _several(_by_group(batches, "group")):
             anchor, seg, skip = g["anchor"].tolist(), g["seg"].tolist(), g["skip"].tolist()
-            rows: set[tuple[int, int, int]] = set()
+            longest: dict[tuple[int, int], int] = {}
             for size, where in maximal_repeats(g["bytes"].tolist(), length):
-                rows |= {(i, o, size) for i, o in where}
-            if rows:
-                got = sorted(rows)
-                cols = [[anchor[i] for i, _, _ in got], [seg[i] for i, _, _ in got], [skip[i] + o for i, o, _ in got],
-                        [skip[i] + o + n - length + 1 for i, o, n in got]]
+                for at in where:
+                    if size > longest.get(at, 0):
+                        longest[at] = size
+            runs: list[list[int]] = []  # (unit, first window, end): the union of a unit's occurrences
+            for (i, o), size in sorted(longest.items()):
+                if runs and runs[-1][0] == i and o <= runs[-1][2]:
+                    runs[-1][2] = max(runs[-1][2], o + size - length + 1)
+                else:
+                    runs.append([i, o, o + size - length + 1])
+            if runs:
+                cols = [[anchor[i] for i, _, _ in runs], [seg[i] for i, _, _ in runs], [skip[i] + a for i, a, _ in runs], [skip[i] + b for i, _, b in runs]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["anchor", "seg", "lo", "hi"])
 
     return (units.select("group", "anchor", "seg", "skip", "bytes").repartition("group").sortWithinPartitions("group")
@@ -255,10 +276,10 @@ def _hot(units: DataFrame, length: int, split: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
     """tid, whole (the text occurs twice) and spans (bytes start and end, sorted, overlapping) of every text that loses bytes."""
-    found = stage(occurrences(docs, length, gram), "suffix-segments")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("_k")).where("_k > 1").select("anchor")
     place = ["anchor", "seg", "tid", "start", "wins", "at"]
-    seen = stage(found.join(twice, "anchor").groupBy(*place).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "suffix-repeated")
+    found = stage(occurrences(docs, length, gram).groupBy(*place).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "suffix-segments")
+    twice = found.groupBy("anchor").agg(F.sum("copies").alias("_k")).where("_k > 1").select("anchor")
+    seen = stage(found.join(twice, "anchor"), "suffix-repeated")
     per_seg = seen.groupBy("anchor", "seg").agg(F.count("*").alias("n"), F.min(F.struct("tid", "start", "wins", "at", "doc_id")).alias("one"))
     per_anchor = per_seg.groupBy("anchor").agg(F.count("*").alias("d"), F.min("n").alias("least"), F.max("n").alias("most")).where("d > 1 OR most > 1")
     segs = stage(per_seg.join(per_anchor, "anchor"), "suffix-distinct")
