@@ -29,7 +29,22 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of at most ``BATCH_ROWS``.
+
+    A batch is held several times over (by the JVM, by Arrow, as objects); with documents of
+    some kilobytes, and a few of many, Spark's default of 10,000 rows takes hundreds of MB.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -39,6 +54,7 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     Cuts the lineage like ``checkpoint()`` does, survives lost executors (the folder is
     shared), and keeps columnar pruning for later readers.
     """
+    bounded_batches(df.sparkSession)
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
