@@ -38,6 +38,7 @@ GROUPS = 100
 SMALL = 1 / 16
 CACHE_ENTRIES = 600_000
 PUNCTUATION = ".,;:!?%&$#*()\""
+_LONE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
 ROWS_PER_RANK_GROUP = 100_000
 
 
@@ -64,10 +65,10 @@ class ChunkIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         # the pre-tokeniser also cuts around a lone line feed and after the letters of a word
-        head, feed, tail = chunk.rpartition("\n")
+        lines = _LONE_FEED.split(chunk)
         word = chunk.rstrip(PUNCTUATION)
-        if head and tail and not (head[-1].isspace() or tail[0].isspace()):
-            ids = self[head] + self[feed] + self[tail]
+        if len(lines) > 1:  # one pass over the lines: a chunk may hold any number of them
+            ids = self["\n"].join(map(self.__getitem__, lines))
         elif word != chunk and word[-1:].isalpha():
             ids = self[word] + self[chunk[len(word):]]
         else:

@@ -117,6 +117,11 @@ def test_chunked_ids_equal_the_tokenizer(text):
         assert np.frombuffer(got, dtype="<u4").tolist() == want
 
 
+@pytest.mark.parametrize("text", ["\n".join(f"QUJD{i:x}+/=" for i in range(5000)), "a\nb\n\nc\nd\n", "\n".join(["é,1!"] * 3000) + "\n \nx\ny."])
+def test_many_lines_without_spaces(text):
+    test_chunked_ids_equal_the_tokenizer(text)
+
+
 # ---------------------------------------------------------------- secrets
 def spans_by_hand(text):
     out = []
