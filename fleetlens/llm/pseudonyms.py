@@ -7,6 +7,9 @@ format, permuted there by a keyed Feistel network (with cycle walking where the
 product) and written back in the layout it was found in, check digits made right again. The
 permutation depends on key and format only, so equal values get equal pseudonyms in every
 document, different values of a format different ones, and the key holder can invert it.
+Card and account numbers are also found where what stands before or after them (a security
+code, an expiry date, a currency) could belong to the pattern: shorter ends at group borders
+and later starts are tried.
 
 Defined results: a null text counts as empty in the counts and stays null; what does not
 validate stays as it is; rows are handled one by one, so repeated rows repeat their result; an
@@ -41,6 +44,32 @@ PATTERNS = {
     "phone": re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])"),
 }
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
+#: Length of an account number by country; others are tried at every border, longest first.
+IBAN_LENGTHS = {k: int(n) for n, ks in (line.split(":") for line in (
+    "15:NO", "16:BE", "18:DK FI FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV", "22:BG BH CR DE GB GE IE ME RS VA",
+    "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM",
+    "28:AL AZ BY CY DO GT HU LB NI PL SV", "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU")) for k in ks.split()}
+CARD_LAYOUT = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}")
+
+
+def card_ends(found: str, start: int, later: bool) -> list[int]:
+    """Where a card number may end in a match: before a separator or at its end, known layouts first, longest first.
+
+    From a ``later`` start, inside a match that failed, known layouts only: any row of numbers has some run with a right check digit.
+    """
+    borders = [i for i in range(13, len(found) + 1) if i == len(found) or not found[i].isdigit() and found[i - 1].isdigit()]
+    sized = [(not CARD_LAYOUT.fullmatch(found, 0, i), -i) for i in borders if 13 <= sum(c.isdigit() for c in found[:i]) <= 19]
+    return [start - i for odd, i in sorted(sized) if not (odd and later)]
+
+
+def iban_ends(found: str, start: int, later: bool) -> list[int]:
+    """Where an account number may end in a match: before a space or at its end, the country's length first, longest first."""
+    borders = [i for i in range(15, len(found) + 1) if i == len(found) or found[i] == " "]
+    usual = IBAN_LENGTHS.get(found[:2])
+    return [start - i for _, i in sorted((i - found.count(" ", 0, i) != usual, -i) for i in borders)]
+
+
+INNER = {"card": card_ends, "iban": iban_ends}
 
 
 class Feistel:
@@ -211,13 +240,21 @@ class Pseudonyms:
         for kind in self.kinds:
             if kind == "email" and "@" not in text:
                 continue
-            for m in PATTERNS[kind].finditer(text):
-                s, e = m.span()
-                if any(a < e and s < b for a, b, _, _ in out):
-                    continue
-                new = self.replace(kind, m.group())
-                if new is not None:
-                    out.append((s, e, kind, new))
+            m, reach = PATTERNS[kind].search(text), 0
+            while m:
+                s, at = m.start(), m.end()
+                ends = [at]
+                if kind in INNER:  # the longest match may run into what follows, or start in what comes before
+                    ends, at, reach = INNER[kind](m.group(), s, s < reach), s + 1, max(reach, m.end())
+                for e in ends:
+                    if any(a < e and s < b for a, b, _, _ in out):
+                        continue
+                    new = self.replace(kind, text[s:e])
+                    if new is not None:
+                        out.append((s, e, kind, new))
+                        at = reach = e
+                        break
+                m = PATTERNS[kind].search(text, at)
         return sorted(out)
 
     def applied(self, text: str, found: list[tuple[int, int, str, str]]) -> str:

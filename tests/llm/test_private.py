@@ -54,6 +54,27 @@ def test_what_does_not_validate_stays(value):
     assert P.Pseudonyms().found(f"x {value} y") == []
 
 
+@pytest.mark.parametrize("kind,value,before,after", [
+    ("card", "4111111111111111", "", " 123"), ("card", "4111 1111 1111 1111", "", " 12/25"), ("card", "4111-1111-1111-1111", "", "-123"),
+    ("card", "4111111111111111", "12 ", ""), ("card", "4111 1111 1111 1111", "", " 12/25 123"), ("card", "378282246310005", "7 ", " 1234"),
+    ("iban", "ES91 2100 0418 4502 0005 1332", "", " EUR"), ("iban", "ES9121000418450200051332", "", " 1000 2000"),
+    ("iban", "ES91 2100 0418 4502 0005 1332", "AB12 ", " EUROPE"), ("iban", "DE89370400440532013000", "", " EUR 4111")])
+def test_values_beside_others_keep_their_link(kind, value, before, after):
+    names, back = P.Pseudonyms(), P.Pseudonyms(inverse=True)
+    text = f"paid {before}{value}{after}, twice {value}."
+    found = names.found(text)
+    new = names.replace(kind, value)
+    assert [(text[s:e], k, n) for s, e, k, n in found if k == kind] == [(value, kind, new)] * 2
+    changed = names.applied(text, found)
+    assert changed.count(new) == 2 and back.applied(changed, back.found(changed)) == text
+
+
+def test_borders_and_scan_go_on_after_the_accepted_value():
+    two = "4111 1111 1111 1111 5500 0000 0000 0004"
+    assert [(two[s:e], k) for s, e, k, _ in P.Pseudonyms().found(two)] == [(two[:19], "card"), (two[20:], "card")]
+    assert not [v for v in P.Pseudonyms().found("4111 1111 1111 1112 123, ES00 2100 0418 4502 0005 1332 EUR") if v[2] == "iban"]
+
+
 def test_dates_and_cards_are_injective():
     names = P.Pseudonyms()
     days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(500)]
