@@ -30,7 +30,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+TOKEN_MIN = 16
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % TOKEN_MIN)
 ASSIGN_MIN = 6
 SAMPLE = 3000  # labelled values per kind, and ordinary tokens, that the automata are fitted on
 FIT_MAX_LENGTH = 256  # longer values are not fitted on; all are scored
@@ -54,16 +55,37 @@ def base_spans(text: str) -> list[Span]:
 
 
 def other_tokens(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Long tokens that touch no base span, in order."""
+    """Long tokens, and long parts of tokens beside base spans, in order."""
     held = sorted((s, e) for s, _, e in base)
-    i, reach = 0, -1
+    i, reach = 0, 0
     for m in TOKEN.finditer(text):
-        s, e = m.span()
-        while i < len(held) and held[i][0] < e:
+        at, end = max(m.start(), reach), m.end()
+        while i < len(held) and held[i][0] < end:
+            if held[i][0] - at >= TOKEN_MIN:
+                yield at, held[i][0]
             reach = max(reach, held[i][1])
+            at = max(at, reach)
+            i += 1
+        if end - at >= TOKEN_MIN:
+            yield at, end
+
+
+def mixed_tokens(text: str, base: list[Span]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Long tokens that hold access keys or hex runs and more: start, end and the parts beside them."""
+    held = sorted((s, e) for s, k, e in base if k)
+    assigned = [(s, e) for s, k, e in base if not k]
+    i = 0
+    for m in TOKEN.finditer(text) if held else ():
+        (s, e), at, parts = m.span(), m.start(), []
+        while i < len(held) and held[i][0] < e:
+            if held[i][0] > at:
+                parts.append((at, held[i][0]))
+            at = max(at, held[i][1])
             i += 1
-        if reach <= s:
-            yield s, e
+        if at > s and at < e:
+            parts.append((at, e))
+        if at > s and parts and not any(x < e and s < y for x, y in assigned):
+            yield s, e, parts
 
 
 _CLASS = {c: k for k, cs in {"0": "0123456789", "a": "abcdef", "l": "ghijklmnopqrstuvwxyz", "A": "ABCDEF",
@@ -170,32 +192,41 @@ class Automaton:
 class Model:
     """Credential automata by kind, the automaton of ordinary tokens, and a threshold per kind.
 
-    A threshold is the largest of 0, the ordinary sample's highest hundredth of log-odds (it may
-    hold some unlabelled credentials) and the lowest hundredth of the kind's own values.
+    A threshold is the larger of 0 and the lowest hundredth of the kind's own values, whatever
+    share of the other tokens is above it. The ordinary sample may hold unlabelled credentials:
+    those found are taken out of it and the rest is fitted again, until none is found.
     """
 
     def __init__(self, values: dict[str, list[str]], ordinary: list[str]):
-        self.ordinary = Automaton([symbols(v) for v in sorted(ordinary)])
         self.kinds = {k: Automaton([symbols(v) for v in sorted(vs)]) for k, vs in sorted(values.items()) if vs}
-        self.least: dict[str, float] = {}
-        for k, vs in sorted(values.items()):
-            if vs:
-                own = sorted(self.odds(k, symbols(v)) for v in vs)
-                other = sorted(self.odds(k, symbols(v)) for v in ordinary) or [0.0]
-                self.least[k] = max(own[len(own) // 100], 0.0, other[int(0.99 * (len(other) - 1))])
+        held = {k: [symbols(v) for v in vs] for k, vs in values.items() if vs}
+        left = [symbols(v) for v in sorted(ordinary)]
+        while True:
+            self.ordinary = Automaton(left)
+            self.least = {k: max(sorted(self.odds(k, s) for s in vs)[len(vs) // 100], 0.0) for k, vs in held.items()}
+            clean = [s for s in left if not self._above(s)]
+            if len(clean) == len(left) or not clean:  # nothing ordinary is left: the last fit stands
+                break
+            left = clean
 
     def odds(self, kind: str, s: str) -> float:
         other = self.ordinary.log_likelihood(s) if self.ordinary.moves else UNSEEN * len(s)
         return (self.kinds[kind].log_likelihood(s) - other) / max(1, len(s))
 
+    def _above(self, s: str) -> bool:
+        return any((odds := self.odds(k, s)) > 0 and odds >= least for k, least in self.least.items())
+
     def is_credential(self, token: str) -> bool:
-        s = symbols(token)
-        return any(self.odds(k, s) > least for k, least in self.least.items())
+        return self._above(symbols(token))
 
     def spans(self, text: str) -> list[Span]:
         """All spans of a text, base ones first found, by start and then kind."""
         base = base_spans(text)
-        return sorted(base + [(s, 3, e) for s, e in other_tokens(text, base) if self.is_credential(text[s:e])])
+        learned = {(s, e) for s, e in other_tokens(text, base) if self.is_credential(text[s:e])}
+        for s, e, parts in mixed_tokens(text, base):
+            if self.is_credential(text[s:e]):  # a credential that a base pattern holds a run of: the rest of it too
+                learned.update(parts)
+        return sorted(base + [(s, 3, e) for s, e in learned])
 
 
 def labelled(docs: DataFrame) -> DataFrame:

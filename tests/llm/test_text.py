@@ -160,6 +160,35 @@ def test_secret_base_spans(spark):
     assert secret_scan.scan(empty, secret_scan.fit(empty)).count() == 0
 
 
+def credential(i, n=28):
+    h = hashlib.sha256(str(i).encode()).hexdigest()
+    return "ky" + "".join(c.upper() if k % 3 else c for k, c in enumerate(h))[:n]
+
+
+def word_tokens(n):
+    r = random.Random(11)
+    return ["_".join("".join(r.choice(["lor", "em", "ip", "sum", "dol", "or"]) for _ in range(4)) for _ in range(2)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("share,same", [(0.05, False), (0.05, True), (0.3, False)])
+def test_unlabelled_credentials_are_found_whatever_their_share(share, same):
+    make = (lambda i: f"ky{i:04d}" + "QZ" * 12) if same else credential
+    words = word_tokens(600)
+    loose = [make(5000 + i) for i in range(int(600 * share))]
+    model = secret_scan.Model({"assign": [make(i) for i in range(300)], "access": [], "hex": []}, [*words, *loose])
+    assert np.mean([model.is_credential(t) for t in loose]) > 0.95
+    assert np.mean([model.is_credential(t) for t in words]) < 0.01
+
+
+def test_parts_beside_base_spans_are_scored():
+    hexes, words = ["0123456789abcdef01234567", "f00dfacef00dfacef00dface"], word_tokens(300)
+    model = secret_scan.Model({"assign": [credential(i, 24) + h + "Zq9" for i in range(200) for h in hexes], "access": [], "hex": []}, words)
+    token = credential(9000, 24) + hexes[0] + "Zq9"
+    text = f"see {token}, {words[0]}={hexes[1]} and {words[1]}"
+    assert secret_scan.mask(text, model.spans(text)) == f"see [SECRET], {words[0]}=[SECRET] and {words[1]}"
+    assert [text[s:e] for s, e in secret_scan.other_tokens(text, secret_scan.base_spans(text))][-2:] == [words[0] + "=", words[1]]
+
+
 def test_automaton_likelihoods():
     a = secret_scan.Automaton(["0a" * 4 + "U"] * 50 + ["0a" * 5 + "U"] * 50)
     assert a.log_likelihood("0a0a0a0aU") > a.log_likelihood("UUUU")
