@@ -170,44 +170,48 @@ def content_roots(root: Node) -> list[Node]:
     return [root]
 
 
-def text_blocks(root: Node) -> list[tuple[str, str]]:
-    """(path, text) of every block of article text, in page order; white space is one space."""
-    out: list[tuple[str, str]] = []
-    for top in content_roots(root):
-        in_article = top.tag in ("article", "main")
-        run: list[str] = []
-
-        def flush(path: str) -> None:
-            text = " ".join("".join(run).split())
-            run.clear()
-            if text:
-                out.append((path, text))
-
-        # (node, path, next child); iterative, so that deep trees are no problem
-        stack = [(top, top.tag, 0)]
-        while stack:
-            node, path, i = stack.pop()
-            if i >= len(node.children):
-                if node.tag in BLOCK or not stack:
-                    flush(path)
-                elif node.tag in ("td", "th"):
-                    run.append(" ")
-                continue
-            stack.append((node, path, i + 1))
-            child = node.children[i]
-            if type(child) is str:
-                run.append(child)
-            elif child.tag == "br":
+def blocks_of(top: Node) -> list[tuple[Node, str, str]]:
+    """(element, path, text) of every block of article text of a content root, in page order; white space is one space."""
+    out: list[tuple[Node, str, str]] = []
+    in_article = top.tag in ("article", "main")
+    run: list[str] = []
+
+    def flush(node: Node, path: str) -> None:
+        text = " ".join("".join(run).split())
+        run.clear()
+        if text:
+            out.append((node, path, text))
+
+    # (node, path, next child); iterative, so that deep trees are no problem
+    stack = [(top, label(top), 0)]
+    while stack:
+        node, path, i = stack.pop()
+        if i >= len(node.children):
+            if node.tag in BLOCK or not stack:
+                flush(node, path)
+            elif node.tag in ("td", "th"):
                 run.append(" ")
-            elif not is_noise(child, in_article):
-                if child.tag in BLOCK:
-                    flush(path)
-                stack.append((child, f"{path}>{label(child)}", 0))
-            elif child.tag in BLOCK:
-                flush(path)
+            continue
+        stack.append((node, path, i + 1))
+        child = node.children[i]
+        if type(child) is str:
+            run.append(child)
+        elif child.tag == "br":
+            run.append(" ")
+        elif not is_noise(child, in_article):
+            if child.tag in BLOCK:
+                flush(node, path)
+            stack.append((child, f"{path}>{label(child)}", 0))
+        elif child.tag in BLOCK:
+            flush(node, path)
     return out
 
 
+def text_blocks(root: Node) -> list[tuple[str, str]]:
+    """(path, text) of every block of article text of a page."""
+    return [(path, text) for top in content_roots(root) for _, path, text in blocks_of(top)]
+
+
 def label(node: Node) -> str:
     """Tag and class words: what simple tree matching compares."""
     if not node.attrs:
@@ -216,20 +220,37 @@ def label(node: Node) -> str:
     return f"{node.tag}.{'.'.join(sorted(c.split()))}" if c else node.tag
 
 
-def folded(node: Node) -> tuple:
-    """(label, texts, children): subtrees without noise; runs of like-labelled leaf siblings are one node."""
-    texts, kids = [], []
-    for c in node.children:
-        if type(c) is str:
-            if t := " ".join(c.split()):
-                texts.append(t)
-        elif not is_noise(c, True):
-            k = folded(c)
-            if kids and kids[-1][0] == k[0] and not kids[-1][2] and not k[2]:
-                kids[-1][1].extend(k[1])
-            else:
-                kids.append(k)
-    return label(node), texts, kids
+def _same(a: tuple, b: tuple) -> bool:
+    return a[0] == b[0] and len(a[2]) == len(b[2]) and all(map(_same, a[2], b[2]))
+
+
+def _merge(a: tuple, b: tuple) -> None:
+    a[1].extend(b[1])
+    for x, y in zip(a[2], b[2]):
+        _merge(x, y)
+
+
+def folded(top: Node) -> tuple:
+    """(label, texts, children) of what holds article text; runs of like siblings are one node.
+
+    The texts of an element are the blocks that ``text_blocks`` gives for it, so that keys agree.
+    """
+    held: dict[int, list[str]] = {}
+    for node, _, text in blocks_of(top):
+        held.setdefault(id(node), []).append(text)
+
+    def build(node: Node) -> tuple:
+        kids: list[tuple] = []
+        for c in node.children:
+            if type(c) is Node and not c.noise:  # the walk has asked every element it came by
+                k = build(c)
+                if kids and _same(kids[-1], k):
+                    _merge(kids[-1], k)
+                elif k[1] or k[2]:
+                    kids.append(k)
+        return label(node), held.get(id(node), []), kids
+
+    return build(top)
 
 
 def align(a: tuple, b: tuple, path: str, out: list[tuple[str, str]]) -> int:

@@ -254,6 +254,15 @@ def test_wrapper_drops_what_a_host_repeats(spark):
     assert got[100].startswith("Read more stories\n\n") and got[205] == "same page"
 
 
+def test_wrapper_keys_of_classed_roots_and_inline_markup(spark):
+    fixed = ["<p><a href=/m>Read more</a></p>", "<p>Join our <b>list</b> now</p>", "<div class=box>Plain <i>words</i><p>inner</p></div>"]
+    rows = [(100 * k + i, f"https://h{k}.example/{i}", page(f"<{tag}>{''.join(fixed)}<p>{prose(20, i)}</p></{tag.split()[0]}>"))
+            for k, tag in enumerate(["article class='post wide'", "main class=m", "div class=w"]) for i in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    for r in extraction.extract(df).collect():
+        assert r["text"] == " ".join(prose(20, r["page_id"] % 100).split()), r
+
+
 def test_simple_tree_matching_is_maximal():
     tree = lambda s: extraction.folded(extraction.parse(s))
     out = []
