@@ -1,9 +1,9 @@
 """Main text of web pages by wrapper induction over same-host pages.
 
-Every page is parsed into a tolerant DOM tree. Trees of same-host pages that meet in a task
-are aligned by simple tree matching (runs of equal siblings are folded, so long lists align
-in a few steps). Text nodes that are aligned and equal are counted per host, path and text
-over all pages; those on at least ``SHARE`` of a host's different pages (and ``PAGES`` of
+Every page is parsed into a tolerant DOM tree. The trees of a host's different pages are
+brought together and each is aligned with the host's reference pages by simple tree matching
+(runs of equal siblings are folded, so long lists align in a few steps). Text nodes that are
+aligned and equal are counted per host, path and text over all pages; those on at least ``SHARE`` of a host's different pages (and ``PAGES`` of
 them) are its template, everything that varies is a content slot. A page's text is what its
 content slots hold inside the article (or, without one, the body), less elements that are
 never article text by their meaning: menus, headers, footers, sidebars, notices, adverts,
@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 from fleetlens.llm.common import load, query, stage
 
 SHARE, PAGES = 0.8, 5
-SALTS = 32
+REFERENCES = 3
+GROUP = 64  # pages of a host that are brought together; a larger host is salted
+NO_HOST = "/"  # what a null url has for a host; no host holds a slash
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
@@ -287,53 +289,112 @@ def _key(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{text}") - (1 << 63)
 
 
-def aligned_nodes(pages: DataFrame) -> DataFrame:
-    """(host, page, node): a row per page (node null), and one per text node that is aligned with an equal one."""
+def packed(page: str) -> list[int]:
+    """The folded content roots of a page as numbers, depth first: label, texts, children, key of each text."""
+    out: list[int] = []
+
+    def put(tree: tuple, path: str) -> None:
+        here = f"{path}>{tree[0]}" if path else tree[0]
+        texts = dict.fromkeys(tree[1])
+        out.extend((xxhash.xxh32_intdigest(tree[0]), len(texts), len(tree[2])))
+        out.extend(_key(here, t) for t in texts)
+        for k in tree[2]:
+            put(k, here)
+
+    roots = [folded(r) for r in content_roots(parse(page))]
+    out += 0, 0, len(roots)
+    for r in roots:
+        put(r, "")
+    return out
+
+
+def unpacked(numbers: list[int]) -> tuple:
+    at = 0
+
+    def take() -> tuple:
+        nonlocal at
+        name, texts, kids = numbers[at:at + 3]
+        at += 3 + texts
+        return name, numbers[at - texts:at], [take() for _ in range(kids)]
+
+    return take()
+
+
+def page_trees(pages: DataFrame) -> DataFrame:
+    """(host, page, tree): every different page of a host once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(10 ** 7)  # trees may be deep; these calls use no C stack
         for batch in batches:
-            sys.setrecursionlimit(10 ** 7)  # trees may be deep; these calls use no C stack
-            model: dict[str | None, tuple[int, list]] = {}
-            rows = []
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                if not page:
-                    continue
-                mark = xxhash.xxh64_intdigest(page) - (1 << 63)
-                rows.append((host, mark, None))
-                trees = [folded(r) for r in content_roots(parse(page))]
-                if host not in model:
-                    model[host] = mark, trees
-                    continue
-                other, others = model[host]
-                if other == mark:
-                    continue
-                equal: list[tuple[str, str]] = []
-                for a, b in zip(others, trees):
-                    align(a, b, "", equal)
-                for node in {_key(*e) for e in equal}:
-                    rows += [(host, mark, node), (host, other, node)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-                                              pa.array([r[2] for r in rows], pa.int64())], names=["host", "page", "node"])
-
-    return pages.select("host", "html").mapInArrow(run, "host string, page long, node long").distinct()
-
-
-def templates(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> DataFrame:
-    """host and the sorted keys of its constant text nodes."""
-    nodes = stage(aligned_nodes(pages), "wrapper-nodes")
-    total = nodes.where("node IS NULL").groupBy(F.col("host").alias("_h")).agg(F.count("*").alias("pages"))
-    constant = nodes.where("node IS NOT NULL").groupBy("host", "node").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    constant = constant.join(total, F.col("host").eqNullSafe(F.col("_h"))).where(F.col("n") >= F.col("pages") * share)
-    return constant.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("template"))  # bounded by a page's text nodes / share
+            rows = [(h, xxhash.xxh64_intdigest(p) - (1 << 63), packed(p))
+                    for h, p in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()) if p]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.list_(pa.int64())))],
+                                             names=["host", "page", "tree"])
+
+    return pages.select("host", "html").mapInArrow(run, "host string, page long, tree array<long>").dropDuplicates(["host", "page"])
+
+
+def host_salts(rows: DataFrame, sizes: DataFrame, *by: str) -> DataFrame:
+    """``rows`` with a salt: one group for every ``GROUP`` pages of the row's host."""
+    hot = sizes.where(F.col("salts") > 1).select("host", "salts")
+    return rows.join(hot, "host", "left").withColumn("salt", F.pmod(F.xxhash64(*by), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+
+
+def every_salt(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
+def host_sizes(trees: DataFrame, least: int = PAGES) -> DataFrame:
+    """(host, pages, salts) of the hosts with enough different pages for a template."""
+    return (trees.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+            .withColumn("salts", F.ceil(F.col("pages") / GROUP).cast("int")))
+
+
+def aligned_nodes(trees: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(host, node, n): on how many pages of the host a text node is aligned with an equal one of a reference page.
+
+    A host's references are the same for all its pages: of ``REFERENCES`` classes by content hash
+    the page of least hash. A node on ``SHARE`` of the pages is hardly ever on none of them, so one
+    odd page does no harm.
+    """
+    first = trees.groupBy("host", F.pmod("page", F.lit(REFERENCES)).alias("class")).agg(F.min_by("tree", "page").alias("tree"))
+    models = first.groupBy("host").agg(F.collect_list("tree").alias("models")).join(sizes.select("host", "salts"), "host")
+    met = host_salts(trees, sizes, "page").join(every_salt(models), ["host", "salt"]).select("host", "tree", "models")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(10 ** 7)
+        for batch in batches:
+            known: dict[str, list[tuple]] = {}
+            hosts, nodes = [], []
+            for i, host in enumerate(batch.column("host").to_pylist()):
+                if host not in known:
+                    known[host] = [unpacked(m) for m in batch.column("models")[i].as_py()]
+                tree = unpacked(batch.column("tree")[i].as_py())
+                equal: list[tuple[str, int]] = []
+                for model in known[host]:
+                    align(model, tree, "", equal)
+                keys = {key for _, key in equal}
+                hosts += [host] * len(keys)
+                nodes += keys
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.int64())], names=["host", "node"])
+
+    return met.mapInArrow(run, "host string, node long").groupBy("host", "node").agg(F.count("*").alias("n"))
+
+
+def templates(trees: DataFrame, sizes: DataFrame, share: float = SHARE, least: int = PAGES) -> DataFrame:
+    """host, salts and the sorted keys of its constant text nodes."""
+    constant = aligned_nodes(trees, sizes).where(F.col("n") >= least).join(sizes, "host").where(F.col("n") >= F.col("pages") * share)
+    return constant.groupBy("host", "salts").agg(F.sort_array(F.collect_list("node")).alias("template"))  # bounded by a page's text nodes / share
 
 
 def extract(table: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages``."""
     id_type = table.schema["page_id"].dataType.simpleString()
     host = F.lower(F.regexp_extract(F.col("url"), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
-    pages = table.select("page_id", "url", "html", host.alias("host"))
-    known = templates(pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("host", "_h")
-    salted = pages.withColumn("salt_", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(known, F.col("host").eqNullSafe(F.col("_h")) & (F.col("salt_") == F.col("salt")), "left")
+    pages = table.select("page_id", "url", "html", F.coalesce(host, F.lit(NO_HOST)).alias("host"))
+    trees = stage(page_trees(pages), "wrapper-trees")
+    sizes = stage(host_sizes(trees), "wrapper-hosts")
+    known = stage(templates(trees, sizes), "wrapper-templates")
+    joined = host_salts(pages, sizes, "page_id", "html").join(every_salt(known), ["host", "salt"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

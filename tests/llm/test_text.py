@@ -263,6 +263,25 @@ def test_wrapper_keys_of_classed_roots_and_inline_markup(spark):
         assert r["text"] == " ".join(prose(20, r["page_id"] % 100).split()), r
 
 
+@pytest.mark.parametrize("batch,parts", [(1000, 1), (7, 5), (1, 1)])
+def test_wrapper_does_not_depend_on_batches_or_order(spark, batch, parts):
+    rows = [(1000 * k + i, f"https://h{k}.example/{i}", page(f"<div><p>Odd page {k}</p></div>" if i == 3 else f"<div><p>Read more {k}</p><p>{prose(9, i)}</p></div>"))
+            for i in range(10) for k in range(40)]
+    rows += [(100000 + i, None, page(f"<div><p>No url here</p><p>{prose(9, i)}</p></div>")) for i in range(200)]
+    df = spark.createDataFrame(random.Random(batch).sample(rows, len(rows)), "page_id long, url string, html string").repartition(parts)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        got = extraction.extract(df).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(got) == len(rows)
+    for r in got:
+        i = r["page_id"] % 1000
+        assert r["text"] == (f"Odd page {r['page_id'] // 1000}" if r["url"] and i == 3 else " ".join(prose(9, i).split()))
+
+
 def test_simple_tree_matching_is_maximal():
     tree = lambda s: extraction.folded(extraction.parse(s))
     out = []
