@@ -1,9 +1,10 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
 A rolling hash over the last seven bytes ends a chunk wherever it falls in the lowest
-1 / block size of its range; each chunk gives one signature character. The block size follows the text's
-length, and a second signature is taken at twice that size, so that texts of up to twice the
-length remain comparable. Fingerprint: ``size:signature:signature at twice the size``.
+1 / block size of its range; each chunk gives one signature character. The block size is chosen by the
+text's own cuts: the smallest whose chunks fit into a signature (see ``levels`` for repetitive
+texts). A second signature is taken at twice that size, so that texts of up to twice the length
+remain comparable. Fingerprint: ``size:signature:signature at twice the size``.
 Likeness is one less the edit distance of two signatures of equal block size, as a share of
 the longer one; signatures without a common run of ``COMMON`` characters are not alike.
 
@@ -28,22 +29,45 @@ from fleetlens.llm.textvec import Block, blocks
 WINDOW = 7
 SMALLEST = 3
 LENGTH = 64  # characters a signature has at most
+SHORT = LENGTH // 4  # a signature below this is made from thinned cuts of the next smaller block size
+LEVELS = 30  # block sizes 3 x 2 ** k
 COMMON = 4
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", dtype=np.uint8)
+#: By level, where the range of the hash ends that cuts; nothing cuts at the last one.
+_BOUNDS = np.array([2 ** 32 // (SMALLEST << k) for k in range(LEVELS)] + [0], dtype=np.uint32)
 _ROLL = [np.uint32(pow(0x01000193, WINDOW - j, 1 << 32)) for j in range(WINDOW)]
 
 
-def block_sizes(size: np.ndarray) -> np.ndarray:
-    """3 x 2 ** k, the smallest with at most ``LENGTH`` blocks in the text."""
-    k = np.ceil(np.log2(np.maximum(size / (LENGTH * SMALLEST), 1.0))).astype(np.int64)
-    return SMALLEST << k
+def levels(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Level k (block size 3 x 2 ** k) of each text and whether it is thinned; ``counts[text, k]`` cuts at level k, never rising.
+
+    The smallest block size whose chunks fit into a signature. Repetitive texts may have hardly any
+    cut there and far too many one level below: then the level below is thinned.
+    """
+    k = (counts >= LENGTH).sum(axis=1)
+    thin = (k > 0) & (np.take_along_axis(counts, k[:, None], 1)[:, 0] + 1 < SHORT)
+    return k - thin, thin
+
+
+def thinned(values: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text with too many cuts: the hash value up to which cuts count, and that of these every 2nd, 4th, ... is kept.
+
+    The value is the ``SHORT``-th lowest: in repeated lines one cut a line is left, so that it does not
+    matter at which line the count begins.
+    """
+    order = np.lexsort((values, doc))
+    first = np.searchsorted(doc[order], np.arange(n))
+    some = np.bincount(doc, minlength=n) >= SHORT
+    bound = np.zeros(n, dtype=np.uint32)
+    bound[some] = values[order][first[some] + SHORT - 1]
+    left = np.bincount(doc[values <= bound[doc]], minlength=n)
+    return bound, 1 << np.ceil(np.log2(np.maximum((left + 1) / LENGTH, 1.0))).astype(np.int64)
 
 
 def signatures(texts: list[bytes]) -> list[str]:
     """Fingerprints of a block of texts."""
     b = Block(texts)
     size = b.end - b.start
-    block = block_sizes(size)
     # rolling hash of the WINDOW bytes up to each place, finalised to 32 bits
     padded = np.concatenate([np.zeros(WINDOW - 1, np.uint8), b.buf]).astype(np.uint32)
     roll = np.zeros(len(b.buf), dtype=np.uint32)
@@ -53,19 +77,26 @@ def signatures(texts: list[bytes]) -> list[str]:
         roll ^= roll >> np.uint32(shift)
         roll *= np.uint32(factor)
     roll ^= roll >> np.uint32(16)
-    # a chunk ends where the hash is in the lowest 1 / block of its range; windows that leave the text never end one
+    # windows that leave the text never end one
     outside = (b.start[:, None] + np.arange(WINDOW - 1)).ravel()
     roll[outside[outside < len(roll)]] = 0xFFFFFFFF
     roll[b.end[b.end < len(roll)]] = 0xFFFFFFFF
-    cuts = np.flatnonzero(roll < np.repeat((2 ** 32 // block).astype(np.uint32), size + 1)[:len(roll)])
+    cuts = np.flatnonzero(roll < _BOUNDS[0])
     of = np.searchsorted(b.end, cuts, side="right")
+    level = len(_BOUNDS) - 1 - np.searchsorted(_BOUNDS[::-1], roll[cuts], side="right")  # the coarsest one that cuts here
+    at_level = np.bincount(of * (LEVELS + 1) + level, minlength=b.n * (LEVELS + 1)).reshape(b.n, LEVELS + 1)
+    chosen, thin = levels(np.cumsum(at_level[:, ::-1], axis=1)[:, ::-1])
+    many = thin[of] & (level >= chosen[of])
+    bound, every = thinned(roll[cuts[many]], of[many], b.n)
+    block = (SMALLEST << chosen) * every
     out = []
     for times in (1, 2):
-        ends_it = roll[cuts] < (2 ** 32 // (block * times)).astype(np.uint32)[of]
+        # twice the block size is the next level, or every other cut where cuts are thinned
+        ends_it = np.where(thin[of], many & (roll[cuts] <= bound[of]), level >= chosen[of] + times - 1)
         cut, doc = cuts[ends_it], of[ends_it]
-        # at most LENGTH - 1 cuts; the last character stands for all that follows
         first = np.searchsorted(doc, np.arange(b.n))
-        keep = np.arange(len(cut)) - first[doc] < LENGTH - 1
+        step = np.where(thin, every * times, 1)[doc]
+        keep = (np.arange(len(cut)) - first[doc]) % step == step - 1  # at most LENGTH - 1 of a text; the last character is for the rest
         ends = np.concatenate([cut[keep] + 1, b.end[size > 0]])
         docs = np.concatenate([doc[keep], np.flatnonzero(size > 0)])
         order = np.lexsort((ends, docs))

@@ -339,6 +339,28 @@ def test_edit_distances_and_likeness():
     assert fingerprint.fingerprints(["", None]) == ["3::", "3::"]
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_fingerprints_of_repeated_lines(seed):
+    r = random.Random(seed)
+    line = "".join(r.choice("abcdefgh ,.0123") for _ in range(99)) + "\n"
+    text = line * r.choice([100, 400, 3000])
+    tail, middle = text + "one more line, another one at the end of it all\n", text[:len(text) // 2] + "a line between the others\n" + text[len(text) // 2:]
+    marks = fingerprint.fingerprints([text, tail, middle, prose(3000, seed)])
+    for mark in marks:
+        assert 16 <= len(mark.split(":")[1]) <= 64, mark
+    near = fingerprint.likeness([marks[0]] * 3, marks[1:])
+    assert near[0] > 0.8 and near[1] > 0.8 and near[2] < 0.2
+    assert marks[0] != marks[1] and marks[0] != marks[2]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_edits_count_wherever_they_are(seed):
+    r = random.Random(seed)
+    line = "".join(r.choice("abcdefgh ,.0123") for _ in range(399)) + "\n"
+    marks = fingerprint.fingerprints([line * 400, line * 200 + prose(20000, seed), prose(20000, seed) + line * 200])
+    assert (fingerprint.likeness([marks[0]] * 2, marks[1:]) < 0.8).all()
+
+
 # ---------------------------------------------------------------- helpers and pipeline
 def test_shingles_match_a_loop():
     texts = [b"a b c d e f g", b"", b"one two", b"x y z u v", b" lead  and\ttabs here now "]
