@@ -4,9 +4,8 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF_SMOKE = "/root/testdata/sf0.001"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -21,9 +20,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collect selected columns as a sorted list of tuples."""
-    sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fleetlens_helpers import rows
 from fleetlens.operators.dedup import kept_events, kept_events_doubling, kept_events_fold
 from fleetlens.operators.distance import distance_score, da_normalize, drop_joint_outliers, remove_noise
 from fleetlens.operators.features import event_features, event_values

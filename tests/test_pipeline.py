@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMOKE
+from fleetlens_helpers import SF_SMOKE
 from fleetlens.operators.interval_join import interval_join, naive_interval_join
 from fleetlens.sources.family import Telemetry, _brake_samples, _event_cols
 
