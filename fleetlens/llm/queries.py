@@ -10,4 +10,5 @@ from fleetlens.llm import pseudonyms  # noqa: F401
 from fleetlens.llm import quality  # noqa: F401
 from fleetlens.llm import secret_scan  # noqa: F401
 from fleetlens.llm import suffixes  # noqa: F401
+from fleetlens.llm import whitening  # noqa: F401
 from fleetlens.llm.common import ORACLE, QUERIES  # noqa: F401
