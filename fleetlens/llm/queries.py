@@ -4,6 +4,7 @@ from fleetlens.llm import capfilters  # noqa: F401
 from fleetlens.llm import extraction  # noqa: F401
 from fleetlens.llm import ffd  # noqa: F401
 from fleetlens.llm import fingerprint  # noqa: F401
+from fleetlens.llm import importance  # noqa: F401
 from fleetlens.llm import mixing  # noqa: F401
 from fleetlens.llm import minhash  # noqa: F401
 from fleetlens.llm import packing  # noqa: F401
