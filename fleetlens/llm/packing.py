@@ -6,8 +6,9 @@
    goes to the driver, where the plan is made: large lengths are rounded up within
    ``groups`` groups of equal cardinality, the few-size cutting-stock programme is solved
    by column generation, actual lengths are substituted for the rounded ones, and what is
-   left (rounding remainders and small lengths) is placed best-fit, longest first. All of
-   it works on runs of equal bins, so its cost depends on ``capacity`` and ``groups`` only.
+   left (rounding remainders and small lengths) is placed best-fit, longest first. Bins that
+   rounding leaves with waste are dissolved and solved again. All of it works on runs of equal
+   bins, so its cost depends on ``capacity`` and ``groups`` only.
 3. Pieces get their rank within their length (salted, so a hot length is split) and look
    up sequence and offset in the plan: a few thousand runs, bounded like the histogram.
 
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import bisect
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,16 +34,15 @@ from fleetlens.llm.textvec import slices
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-GROUPS = 100
+GROUPS = 60
+ROUNDS = 4
+WASTE = 3  # ids free in a bin that a round keeps
 SMALL = 1 / 16
-CACHE_ENTRIES = 600_000
-PUNCTUATION = ".,;:!?%&$#*()\""
-_LONE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
 ROWS_PER_RANK_GROUP = 100_000
 
 
-class ChunkIds(dict):
-    """Chunk of text -> its ids as little-endian uint32 bytes; emptied when it has grown large.
+class Encoder:
+    """Ids of whole texts as little-endian uint32 bytes.
 
     ``ranks`` is the same vocabulary in the form of the faster encoder; its ids are equal
     (tested). Text that spells the special token is left to the tokenizer file itself.
@@ -51,9 +50,8 @@ class ChunkIds(dict):
 
     def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
-        super().__init__()
         whole = Tokenizer.from_file(path)
-        self.exact = lambda chunk: whole.encode(chunk, add_special_tokens=False).ids
+        self.exact = lambda text: whole.encode(text, add_special_tokens=False).ids
         self.encode = self.exact
         self.special = tuple(t.content for t in whole.get_added_tokens_decoder().values())
         if ranks:
@@ -63,40 +61,11 @@ class ChunkIds(dict):
                 merges = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f)}
             self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}).encode_ordinary
 
-    def __missing__(self, chunk: str) -> bytes:
-        # the pre-tokeniser also cuts around a lone line feed and after the letters of a word
-        lines = _LONE_FEED.split(chunk)
-        word = chunk.rstrip(PUNCTUATION)
-        if len(lines) > 1:  # one pass over the lines: a chunk may hold any number of them
-            ids = self["\n"].join(map(self.__getitem__, lines))
-        elif word != chunk and word[-1:].isalpha():
-            ids = self[word] + self[chunk[len(word):]]
-        else:
-            encode = self.exact if any(t in chunk for t in self.special) else self.encode
-            ids = np.array(encode(chunk), dtype="<u4").tobytes()
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-
-_TWO_SPACES = re.compile(r"\s\s")
-_BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
-
-
-def chunks(text: str) -> list[str]:
-    """Cut ``text`` before single spaces between words.
-
-    The byte-level pre-tokeniser always starts a new piece there, so the ids of the
-    chunks, joined, are the ids of the text.
-    """
-    parts = text.split(" ") if not _TWO_SPACES.search(text) else _BOUNDARY.split(text)
-    return [p for p in (parts[0], *[" " + p for p in parts[1:]]) if p]
-
 
-def token_bytes(text: str | None, cache: ChunkIds) -> bytes:
-    return b"".join(map(cache.__getitem__, chunks(text or "")))
+def token_bytes(text: str | None, encoder: Encoder) -> bytes:
+    text = text or ""
+    encode = encoder.exact if any(t in text for t in encoder.special) else encoder.encode
+    return np.array(encode(text), dtype="<u4").tobytes()
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -118,12 +87,12 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = N
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = ChunkIds(vocabulary, ranks)
+        encoder = Encoder(vocabulary, ranks)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches):
             rows, out = [], []
             for row, text in enumerate(batch.column("text")):
-                ids = token_bytes(text.as_py(), cache) + end
+                ids = token_bytes(text.as_py(), encoder) + end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                     part = ids[4 * start:4 * (start + n)]
                     rows.append(row)
@@ -149,23 +118,21 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list
     for _ in range(60 * m):
         dual = inverse.sum(axis=0)
         best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for c in range(int(sizes.min()), capacity + 1):
-            fit = sizes <= c
-            value = np.where(fit, best[np.where(fit, c - sizes, 0)] + dual, -1.0)
-            k = int(value.argmax())
-            if value[k] > best[c - 1] + 1e-12:
-                best[c], take[c] = value[k], k
-            else:
-                best[c] = best[c - 1]
+        for k in np.argsort(-dual / sizes):  # one more copy of size k at a time, over all capacities at once
+            size, value = int(sizes[k]), dual[k]
+            for _ in range(capacity // size if value > 1e-12 else 0):
+                more = best[:-size] + value
+                up = more > best[size:] + 1e-12
+                if not up.any():
+                    break
+                best[size:][up] = more[up]
+                take[size:][up] = k
         if best[capacity] <= 1 + 1e-7:
             break
         column, c = np.zeros(m), capacity
-        while c > 0:
-            if take[c] < 0:
-                c -= 1
-            else:
-                column[take[c]] += 1
-                c -= int(sizes[take[c]])
+        while take[c] >= 0:
+            column[take[c]] += 1
+            c -= int(sizes[take[c]])
         step = inverse @ column
         up = step > 1e-9
         ratio = np.full(m, np.inf)
@@ -198,46 +165,51 @@ class _Runs:
         return out
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: float = SMALL) -> pd.DataFrame:
-    """Place ``counts[length]`` pieces of each length; rows are runs of equal slots.
+def linear_grouping(left: dict[int, int], capacity: int, groups: int, small: float) -> list[list]:
+    """Blocks [free, bins, lengths in order of offset] of the programme's whole bins for the large lengths.
 
-    Columns length, first (rank of the run's first piece within its length), count,
-    sequence (of the first piece; the next rank goes to the next sequence), offset.
+    Groups of equal cardinality are rounded up to their longest length; actual lengths, longest
+    first, then take the places of the rounded ones. Runs of equal bins are one block.
     """
-    blocks: list[list] = []  # [free, bins, [lengths in order of offset]]
-    left: dict[int, int] = {k: v for k, v in counts.items() if v}
-    if full := left.pop(capacity, 0):
-        blocks.append([0, full, [capacity]])
-    large = sorted((k for k in left if k > small * capacity), reverse=True)
+    large = sorted((k for k in left if left[k] and k > small * capacity), reverse=True)
     total = sum(left[k] for k in large)
-    if total:
-        # groups of equal cardinality, each rounded up to its longest length; equal lengths stay together
-        grouped, seen, last = [], 0, -1
-        for k in large:
-            at = min(groups - 1, seen * groups // total)
-            if at != last:
-                grouped.append([])
-                last = at
-            grouped[-1].append((k, left[k]))
-            seen += left[k]
-        sizes = np.array([g[0][0] for g in grouped])
-        demand = np.array([sum(n for _, n in g) for g in grouped], dtype=float)
-        supply = [_Runs(list(g)) for g in grouped]
-        for items, bins in configurations(sizes, demand, capacity):
-            bins = int(bins + 1e-6)
-            slots = [supply[g].take(bins) for g in range(len(sizes)) for _ in range(items[g])]
-            slots = [s for s in slots if s]
-            if not slots or not bins:
-                continue
-            for s in slots:
-                for length, n in s:
-                    left[length] -= n
-            edges = sorted({0, *[int(e) for s in slots for e in np.cumsum([n for _, n in s])]})
-            ends = [(np.cumsum([n for _, n in s]), s) for s in slots]
-            for a, b in zip(edges, edges[1:]):
-                held = [s[i][0] for e, s in ends if (i := int(np.searchsorted(e, a, side="right"))) < len(s)]
-                blocks.append([capacity - sum(held), b - a, held])
-    # the rest, longest first, each into the fullest bins that take it
+    grouped, seen, last = [], 0, -1
+    for k in large:  # equal lengths stay together
+        at = min(groups - 1, seen * groups // total)
+        if at != last:
+            grouped.append([])
+            last = at
+        grouped[-1].append((k, left[k]))
+        seen += left[k]
+    if not grouped:
+        return []
+    sizes = np.array([g[0][0] for g in grouped])
+    demand = np.array([sum(n for _, n in g) for g in grouped], dtype=float)
+    supply, blocks = [_Runs(list(g)) for g in grouped], []
+    for items, bins in sorted(configurations(sizes, demand, capacity), key=lambda x: -x[1]):
+        bins = int(bins + 1e-6)
+        slots = [supply[g].take(bins) for g in range(len(sizes)) for _ in range(items[g])]
+        slots = [s for s in slots if s]
+        if not slots or not bins:
+            continue
+        edges = sorted({0, *[int(e) for s in slots for e in np.cumsum([n for _, n in s])]})
+        ends = [(np.cumsum([n for _, n in s]), s) for s in slots]
+        for a, b in zip(edges, edges[1:]):
+            held = [s[i][0] for e, s in ends if (i := int(np.searchsorted(e, a, side="right"))) < len(s)]
+            blocks.append([capacity - sum(held), b - a, held])
+    return blocks
+
+
+def without(left: dict[int, int], blocks: list[list]) -> dict[int, int]:
+    out = dict(left)
+    for _, bins, held in blocks:
+        for length in held:
+            out[length] -= bins
+    return out
+
+
+def best_fit(left: dict[int, int], blocks: list[list], capacity: int) -> list[list]:
+    """``blocks`` and what is left, longest first, each into the fullest bins that take it."""
     free: dict[int, list[list]] = {}
     for b in blocks:
         free.setdefault(b[0], []).append(b)
@@ -269,15 +241,49 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
                 bins, used = (n // each, each) if n >= each else (1, n)
                 put([capacity - used * length, bins, [length] * used])
                 n -= bins * used
+    return [b for k in keys for b in free[k]]
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: float = SMALL, rounds: int = ROUNDS) -> pd.DataFrame:
+    """Place ``counts[length]`` pieces of each length; rows are runs of equal slots.
+
+    Each round solves the programme for the pieces that are left; its bins that are full but for
+    ``WASTE`` ids stay, the others are dissolved for the next round, whose groups follow what is
+    left. Every round's bins, all of them or those that stay, are also completed best-fit, longest
+    first; the plan with the fewest sequences is taken. Best fit alone is one of the plans, so the
+    result is never worse; the rounds end when no plan can be better by a thousandth.
+
+    Columns length, first (rank of the run's first piece within its length), count,
+    sequence (of the first piece; the next rank goes to the next sequence), offset.
+    """
+    left: dict[int, int] = {k: v for k, v in counts.items() if v}
+    full = left.pop(capacity, 0)
+    kept: list[list] = [[0, full, [capacity]]] if full else []
+    least = full + -(-sum(k * v for k, v in left.items()) // capacity)
+
+    def bins(blocks: list[list]) -> int:
+        return sum(b[1] for b in blocks)
+
+    best = best_fit(left, kept, capacity)
+    for _ in range(rounds):
+        if bins(best) * 1000 <= least * 1001:
+            break
+        blocks = linear_grouping(left, capacity, groups, small)
+        stay = [b for b in blocks if b[0] <= WASTE]
+        rest = without(left, stay)
+        plans = [best, best_fit(without(left, blocks), kept + blocks, capacity), best_fit(rest, kept + stay, capacity)]
+        best = min(plans, key=bins)
+        left, kept = rest, kept + stay
+        if not stay:
+            break
     rows, rank, sequence = [], {k: 0 for k in counts}, 0
-    for k in keys:
-        for _, bins, held in free[k]:
-            offset = 0
-            for length in held:
-                rows.append((length, rank[length], bins, sequence, offset))
-                rank[length] += bins
-                offset += length
-            sequence += bins
+    for _, n, held in best:
+        offset = 0
+        for length in held:
+            rows.append((length, rank[length], n, sequence, offset))
+            rank[length] += n
+            offset += length
+        sequence += n
     return pd.DataFrame(rows, columns=["length", "first", "count", "sequence", "offset"], dtype="int64")
 
 

@@ -113,7 +113,7 @@ def test_chunked_ids_equal_the_tokenizer(text):
     from tokenizers import Tokenizer
     want = Tokenizer.from_file(P.path(packing.VOCABULARY)).encode(text, add_special_tokens=False).ids
     for ranks in (None, P.path(packing.RANKS)):
-        got = packing.token_bytes(text, packing.ChunkIds(P.path(packing.VOCABULARY), ranks))
+        got = packing.token_bytes(text, packing.Encoder(P.path(packing.VOCABULARY), ranks))
         assert np.frombuffer(got, dtype="<u4").tolist() == want
 
 
@@ -122,6 +122,39 @@ def test_many_lines_without_spaces(text):
     test_chunked_ids_equal_the_tokenizer(text)
 
 
+def best_fit_decreasing(counts, capacity):
+    bins = []
+    free = Counter()
+    for n in sorted(counts.elements(), reverse=True):
+        room = min((f for f in free if f >= n and free[f]), default=None)
+        if room is None:
+            bins.append(1)
+            room = capacity
+        else:
+            free[room] -= 1
+        free[room - n] += 1
+    return len(bins)
+
+
+@pytest.mark.parametrize("kind", ["log-normal", "uniform", "few", "middle", "normal", "small"])
+def test_plan_is_never_worse_than_best_fit_decreasing(kind):
+    r = np.random.default_rng(3)
+    lengths = {"log-normal": r.lognormal(5.5, 1, 4000), "uniform": r.integers(1, 1025, 4000), "few": r.choice([300, 341, 512, 700, 1024], 4000),
+               "middle": r.integers(200, 701, 4000), "normal": r.normal(300, 60, 4000), "small": r.integers(1, 40, 4000)}[kind]
+    counts = Counter(np.clip(lengths.astype(int), 1, 1024).tolist())
+    slots = packing.plan(dict(counts))
+    held = Counter()
+    for row in slots.itertuples():
+        for k in range(row.count):
+            held[row.sequence + k] += row.length
+    assert max(held.values()) <= 1024 and sum(held.values()) == sum(k * v for k, v in counts.items())
+    assert Counter({k: int(v) for k, v in slots.groupby("length")["count"].sum().items()}) == counts
+    plain = best_fit_decreasing(counts, 1024)
+    assert len(held) <= plain
+    if kind in ("middle", "normal"):
+        assert len(held) < plain  # here the programme's configurations gain
+
+
 # ---------------------------------------------------------------- secrets
 def spans_by_hand(text):
     out = []
