@@ -36,6 +36,7 @@ LENGTH = 400
 GRAM = 128
 SPLIT = 512
 RUN = 16
+SALTS = 64
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -84,62 +85,90 @@ def suffix_array(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarr
     text = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8).astype(np.int64) + len(strings)
     ends = np.cumsum(size + 1) - 1
     text[ends] = np.arange(len(strings))  # every string ends in a sign of its own
-    rank = text
-    ranks, step = [rank], 1
-    while step < depth:
-        key = rank * (int(rank.max()) + 2)
-        key[:-step] += rank[step:] + 1
+    base = int(text.max(initial=0)) + 2
+    step = 1
+    while base ** (step + 1) < 1 << 62 and step < depth:  # so many signs fit in one number: the first ranking sorts by all of them
+        step += 1
+    key = np.zeros(len(text), dtype=np.int64)
+    for j in range(step):
+        key *= base
+        key[:len(text) - j] += text[j:] + 1
+    ranks: list[tuple[int, np.ndarray]] = [(1, text)]
+    while True:
         order = np.argsort(key)
         sorted_ = key[order]
-        new = np.empty_like(rank)
-        new[order] = np.cumsum(np.concatenate([[0], sorted_[1:] != sorted_[:-1]]))
-        rank = new
-        ranks.append(rank)
-        step *= 2
-        if rank[order[-1]] == len(rank) - 1:
+        rank = np.empty_like(key)
+        rank[order] = np.cumsum(np.concatenate([[0], sorted_[1:] != sorted_[:-1]]))
+        ranks.append((step, rank))
+        if step >= depth or rank[order[-1]] == len(rank) - 1:
             break
-    order = np.argsort(rank)
+        key = rank * (int(rank.max()) + 2)
+        key[:-step] += rank[step:] + 1
+        step *= 2
     a, b = order[:-1].copy(), order[1:].copy()
     common = np.zeros(len(a), dtype=np.int64)
     for k in range(len(ranks) - 1, -1, -1):
-        for _ in range(2 if k == len(ranks) - 1 else 1):
-            ok = (a < len(rank)) & (b < len(rank))
-            same = np.zeros(len(a), dtype=bool)
-            same[ok] = ranks[k][a[ok]] == ranks[k][b[ok]]
-            common[same] += 1 << k
-            a[same] += 1 << k
-            b[same] += 1 << k
+        width, rank = ranks[k]
+        for _ in range(2 if k == len(ranks) - 1 else 1 if k > 1 else ranks[1][0] if k == 0 else 2):
+            ok = np.flatnonzero((a < len(rank)) & (b < len(rank)))
+            same = ok[rank[a[ok]] == rank[b[ok]]]
+            common[same] += width
+            a[same] += width
+            b[same] += width
     return order, np.concatenate([[0], common]), of, offset
 
 
+def stretches(strings: list[bytes], length: int) -> list[tuple[int, int, int]]:
+    """(string, start, end) of the parts that can hold a repeat: around windows whose hash occurs twice."""
+    b = Block(strings)
+    size = np.maximum(b.end - b.start - length + 1, 0)
+    of = np.repeat(np.arange(len(strings)), size)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + b.start[of]
+    if not len(at):
+        return []
+    _, which, count = np.unique(b.range_hash(at, at + length), return_inverse=True, return_counts=True)
+    twice = count[which] > 1
+    at, of = at[twice], of[twice]
+    cut = np.flatnonzero((np.diff(at) > length) | (np.diff(of) != 0))
+    first, last = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(at) - 1]])
+    if not len(at):
+        return []
+    start = at[first] - b.start[of[first]]
+    return list(zip(of[first].tolist(), start.tolist(), (at[last] - b.start[of[last]] + length).tolist()))
+
+
 def maximal_repeats(strings: list[bytes], length: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
     """(common length, [(string, offset), ...]) of every left-diverse repeat of at least ``length`` bytes.
 
     Scans the intervals of the suffix array with a stack; an interval's occurrences are all
     suffixes in it. Lengths over ``length`` are exact while strings are under twice that.
     """
-    longest = max((len(x) for x in strings), default=0)
-    if longest < length:
+    # a window whose hash is alone has no equal: only the stretches around the others are sorted
+    kept = stretches(strings, length)
+    if not kept:
         return []
-    order, common, of, offset = suffix_array(strings, longest)
-    far = common >= length
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], far.astype(np.int8), [0]])))
-    out = []
-    for lo, hi in zip(edge[::2], edge[1::2]):  # suffixes lo - 1 .. hi - 1 share at least ``length`` bytes with a neighbour
-        suffixes = order[lo - 1:hi]
-        strs, offs = of[suffixes].tolist(), offset[suffixes].tolist()
-        before = [strings[s][o - 1] if o else -1 - s for s, o in zip(strs, offs)]
-        change = np.cumsum(np.concatenate([[0], np.diff(np.array(before)) != 0])).tolist()
-        lcp = common[lo:hi].tolist() + [0]
-        stack: list[tuple[int, int]] = []  # (common length, first suffix)
-        for i, n in enumerate(lcp):
-            first = i
-            while stack and stack[-1][0] > n:
-                height, first = stack.pop()
-                if change[i] != change[first]:  # preceded by different bytes
-                    out.append((height, list(zip(strs[first:i + 1], offs[first:i + 1]))))
-            if n >= length and (not stack or stack[-1][0] < n):
-                stack.append((n, first))
+    cut = [strings[s][a:b] for s, a, b in kept]
+    order, common, of, offset = suffix_array(cut, max(map(len, cut)))
+    # suffixes that share at least ``length`` bytes with a neighbour
+    far = np.append(common >= length, False)
+    sel = np.flatnonzero(far[:-1] | far[1:])
+    of, offset, order = of[order[sel]], offset[order[sel]], order[sel]
+    signs = np.frombuffer(b"\0".join(cut) + b"\0", dtype=np.uint8).astype(np.int64)
+    before = np.where(offset > 0, signs[order - 1], -1 - of)  # a stretch's start is preceded by nothing that its equals share
+    change = np.cumsum(np.concatenate([[0], np.diff(before) != 0])).tolist()
+    lcp = np.where(far[sel + 1], np.append(common, 0)[sel + 1], 0).tolist()
+    strs = [kept[i][0] for i in of.tolist()]
+    offs = (offset + np.array([a for _, a, _ in kept])[of]).tolist()
+    out: list[tuple[int, list[tuple[int, int]]]] = []
+    stack: list[tuple[int, int]] = []  # (common length, first suffix)
+    for i, n in enumerate(lcp):
+        first = i
+        while stack and stack[-1][0] > n:
+            height, first = stack.pop()
+            if change[i] != change[first]:  # preceded by different bytes
+                out.append((height, list(zip(strs[first:i + 1], offs[first:i + 1]))))
+        if n and (not stack or stack[-1][0] < n):
+            stack.append((n, first))
     return out
 
 
@@ -246,43 +275,61 @@ def _h(b: bytes) -> int:
 
 
 def _hot(units: DataFrame, length: int, split: int) -> DataFrame:
-    """Repeated windows of the segments of hot anchors: runs of windows grouped by what they share."""
+    """anchor, seg, found (intervals): repeated windows of the segments of hot anchors, whose runs of windows are grouped by what they share."""
     runs = stage(_cut(units, RUN, length), "suffix-runs")
     subs = runs.groupBy("group", "sub").agg(F.sum("n").alias("k"), F.min(F.struct("anchor", "seg", "lo", "hi")).alias("one"))
     per = subs.groupBy("group").agg(F.count("*").alias("d"), F.sum("k").alias("total")).where("total > 1")
     subs = stage(subs.join(per, "group"), "suffix-subs")
-    whole = runs.join(subs.where("k > 1").select("group", "sub"), ["group", "sub"]).select("anchor", "seg", "lo", "hi")
+    whole = runs.join(subs.where("k > 1").select("group", "sub"), ["group", "sub"]).select("anchor", "seg", F.array(F.struct("lo", "hi")).alias("found"))
     open_ = subs.where("d > 1").select("group", "sub", "d", "one.*")
+    # a run is known by its group and hash from here on, in the place of anchor and segment
     fetched = open_.join(units.select("anchor", "seg", "at", "bytes"), ["anchor", "seg"]).select(
-        "group", "sub", "d", "anchor", "seg", F.col("lo").alias("skip"), F.expr(f"substring(bytes, int(lo) + 1, int(hi - lo) + {length - 1})").alias("bytes"),
-        (F.col("at") - F.col("lo")).cast("int").alias("at"))
-    fetched = stage(fetched, "suffix-open")
-    found = _compared(fetched.where(F.col("d") <= split), length)
+        F.col("group").alias("anchor"), F.col("sub").alias("seg"), "d", (F.col("at") - F.col("lo")).cast("int").alias("at"),
+        F.expr(f"substring(bytes, int(lo) + 1, int(hi - lo) + {length - 1})").alias("bytes"))
+    fetched = stage(fetched, "suffix-open").withColumn("group", F.col("anchor"))
+    zero = F.lit(0).cast("long")
+    compared = _compared(fetched.where(F.col("d") <= split).withColumn("skip", zero), length)
     # what is left of a group that is still large: single windows, equal ones counted
-    single = _cut(fetched.where(F.col("d") > split).select("anchor", "seg", F.lit(1).cast("long").alias("n"), "at", "bytes", "skip", "group", "sub")
-                  .select(F.col("group").alias("anchor"), F.col("sub").alias("seg"), "n", "at", "bytes"), 1, length)
+    single = _cut(fetched.where(F.col("d") > split).withColumn("n", zero + 1), 1, length)
     single = stage(single, "suffix-windows")
-    twice = single.groupBy("group", "sub").agg(F.count("*").alias("k")).where("k > 1")
-    left = single.join(twice, ["group", "sub"]).select(F.col("anchor").alias("group"), F.col("seg").alias("sub"), F.col("lo").alias("a"), F.col("hi").alias("b"))
-    left = left.join(fetched.select("group", "sub", "anchor", "seg", "skip"), ["group", "sub"]).select(
-        "anchor", "seg", (F.col("skip") + F.col("a")).alias("lo"), (F.col("skip") + F.col("b")).alias("hi"))
-    # from the run's representative to all segments that hold an equal run
-    reps = found.union(left).join(open_.select("group", "sub", "anchor", "seg", F.col("lo").alias("f"), F.col("hi").alias("t")), ["anchor", "seg"])
-    reps = reps.where((F.col("lo") >= F.col("f")) & (F.col("hi") <= F.col("t"))).select(
-        "group", "sub", (F.col("lo") - F.col("f")).alias("a"), (F.col("hi") - F.col("f")).alias("b"))
-    back = runs.join(reps, ["group", "sub"]).select("anchor", "seg", (F.col("lo") + F.col("a")).alias("x"), (F.col("lo") + F.col("b")).alias("y"))
-    return whole.union(back.select("anchor", "seg", F.col("x").alias("lo"), F.col("y").alias("hi")))
+    twice = single.groupBy("group", "sub").agg(F.count("*").alias("k")).where("k > 1").select("group", "sub")
+    alone = single.join(twice, ["group", "sub"]).select("anchor", "seg", "lo", "hi")
+    # from the run's representative to all segments that hold an equal run: one row for each of these
+    reps = _intervals(compared.union(alone).select("anchor", "seg", F.array(F.struct("lo", "hi")).alias("found"))).select(
+        F.col("anchor").alias("group"), F.col("seg").alias("sub"), "found")
+    back = runs.join(reps, ["group", "sub"]).select("anchor", "seg", F.transform("found", lambda x: F.struct(
+        (x["lo"] + F.col("lo")).alias("lo"), (x["hi"] + F.col("lo")).alias("hi"))).alias("found"))
+    return whole.union(back)
+
+
+def _intervals(rows: DataFrame) -> DataFrame:
+    """One row per anchor and segment: the union of its intervals (bounded by the windows of a segment), sorted and apart."""
+    def add(done, x):
+        last = F.element_at(done, -1)
+        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], x["hi"]).alias("hi"))))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["hi"] >= x["lo"]), longer).otherwise(F.concat(done, F.array(x)))
+
+    none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
+    sets = rows.select("anchor", "seg", F.explode("found").alias("x")).groupBy("anchor", "seg").agg(F.sort_array(F.collect_set("x")).alias("x"))
+    return sets.select("anchor", "seg", F.aggregate("x", none, add).alias("found"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> DataFrame:
     """tid, whole (the text occurs twice) and spans (bytes start and end, sorted, overlapping) of every text that loses bytes."""
     place = ["anchor", "seg", "tid", "start", "wins", "at"]
     found = stage(occurrences(docs, length, gram).groupBy(*place).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "suffix-segments")
-    twice = found.groupBy("anchor").agg(F.sum("copies").alias("_k")).where("_k > 1").select("anchor")
-    seen = stage(found.join(twice, "anchor"), "suffix-repeated")
+    # an anchor of many segments is spread: joins by anchor also take the salts that occur with it
+    salt = F.pmod("seg", F.lit(SALTS)).cast("int")
+    salted = found.withColumn("salt", salt)
+    twice = (salted.groupBy("anchor", "salt").agg(F.sum("copies").alias("_k")).groupBy("anchor").agg(F.sum("_k").alias("_k"), F.collect_list("salt").alias("_salts"))
+             .where("_k > 1").select("anchor", F.explode("_salts").alias("salt")))
+    seen = stage(salted.join(twice, ["anchor", "salt"]).drop("salt"), "suffix-repeated")
     per_seg = seen.groupBy("anchor", "seg").agg(F.count("*").alias("n"), F.min(F.struct("tid", "start", "wins", "at", "doc_id")).alias("one"))
-    per_anchor = per_seg.groupBy("anchor").agg(F.count("*").alias("d"), F.min("n").alias("least"), F.max("n").alias("most")).where("d > 1 OR most > 1")
-    segs = stage(per_seg.join(per_anchor, "anchor"), "suffix-distinct")
+    per_seg = stage(per_seg.withColumn("salt", salt), "suffix-counted")
+    per_salt = per_seg.groupBy("anchor", "salt").agg(F.count("*").alias("d"), F.min("n").alias("least"), F.max("n").alias("most"))
+    per_anchor = (per_salt.groupBy("anchor").agg(F.sum("d").alias("d"), F.min("least").alias("least"), F.max("most").alias("most"), F.collect_list("salt").alias("salts"))
+                  .where("d > 1 OR most > 1").withColumn("salt", F.explode("salts")).drop("salts"))
+    segs = stage(per_seg.join(per_anchor, ["anchor", "salt"]).drop("salt"), "suffix-distinct")
 
     # the bytes of one occurrence of each segment that must be compared
     wanted = (segs.where("d > 1 AND least = 1").select("anchor", "seg", "n", "d", "one.*").groupBy("tid", F.col("doc_id").alias("_id"))
@@ -303,12 +350,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, spli
     units = sources.mapInArrow(fetch, "anchor long, seg long, n long, d long, at int, bytes binary")
     units = stage(units.dropDuplicates(["anchor", "seg"]), "suffix-units")
     small = units.where(F.col("d") <= split).withColumn("group", F.col("anchor")).withColumn("skip", F.lit(0).cast("long"))
-    repeated = (segs.where("n > 1").select("anchor", "seg", F.lit(0).cast("long").alias("lo"), F.col("one.wins").cast("long").alias("hi"))
-                .union(_compared(small, length)).union(_hot(units.where(F.col("d") > split), length, split)))
+    equal = segs.where("n > 1").select("anchor", "seg", F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("one.wins").cast("long").alias("hi"))).alias("found"))
+    compared = _compared(small, length).select("anchor", "seg", F.array(F.struct("lo", "hi")).alias("found"))
+    repeated = _intervals(equal.union(compared).union(_hot(units.where(F.col("d") > split), length, split)))
     repeated = stage(repeated, "suffix-windows-repeated")
     copied = seen.where("copies > 1").select("tid").distinct().select("tid", F.lit(True).alias("whole"))
-    spans = (seen.join(repeated, ["anchor", "seg"])
-             .groupBy("tid").agg(F.sort_array(F.collect_set(F.struct((F.col("start") + F.col("lo")).alias("s"), (F.col("start") + F.col("hi") + (length - 1)).alias("e")))).alias("spans")))
+    placed = seen.join(repeated, ["anchor", "seg"]).select("tid", F.transform("found", lambda x: F.struct(
+        (F.col("start") + x["lo"]).alias("s"), (F.col("start") + x["hi"] + (length - 1)).alias("e"))).alias("spans"))
+    spans = placed.groupBy("tid").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("spans"))
     return spans.join(copied, "tid", "full").select("tid", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
 
 
