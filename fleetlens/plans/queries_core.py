@@ -290,36 +290,46 @@ def q_stream_labels(spark, sf_dir):
     return _streamed(spark, sf_dir, "labels")
 
 
+_DAY = 86_400
+
+
 @register("stream_join", O.with_ctes(*_BASE, CMB_SRC) + f"SELECT {_CMB_OUT} FROM src")
 def q_stream_join(spark, sf_dir):
-    """CMB source rows from a stream-stream interval join: trip events and samples arrive as
-    weekly file chunks on two streams (watermarked), joined by vehicle, time bucket and range."""
+    """CMB source rows from a stream-stream interval join: trip events and samples arrive as weekly
+    chunks on two ordered streams that advance together, joined by vehicle, time bucket and range."""
     import uuid
 
     from fleetlens.session import checkpoint_dir
     from fleetlens.sources.family import _brake_samples, _event_cols
-    from fleetlens.streaming.join import stream_interval_join
+    from fleetlens.sources.ordered import stage_by_time
+    from fleetlens.streaming.join import run_join_stream
 
     t = Telemetry.derive(spark, sf_dir)
     run = f"{checkpoint_dir(spark).rstrip('/')}/join-stream-{uuid.uuid4().hex}"
-    week = F.date_format(F.window("CreatedDate", "7 days").start, "yyyyMMdd")
     ev = _event_cols(t.trips.where(F.col("EventID").isin(32, 4096, 1024)), F.col("Speed").alias("teSpeed"),
                      F.lit(0).alias("isSevere"))
-    ev.withColumn("chunk", week).write.partitionBy("chunk").parquet(f"{run}/events")
-    owner = t.trips.select(F.col("n").alias("ppe_n"), F.col("CreatedDate").alias("_owner_created"))
-    sm = _brake_samples(t, False).join(owner, "ppe_n", "inner")
-    sm.withColumn("chunk", F.date_format(F.window("_owner_created", "7 days").start, "yyyyMMdd")) \
-        .drop("_owner_created").write.partitionBy("chunk").parquet(f"{run}/samples")
-    evs = spark.readStream.schema(spark.read.parquet(f"{run}/events").schema).option("maxFilesPerTrigger", 8) \
-        .parquet(f"{run}/events").drop("chunk")
-    sms = spark.readStream.schema(spark.read.parquet(f"{run}/samples").schema).option("maxFilesPerTrigger", 8) \
-        .parquet(f"{run}/samples").drop("chunk")
-    # the watermark delay must cover the ingestion disorder: files of one weekly chunk arrive in
-    # any order, so rows may be up to a chunk width older than the newest row seen
-    joined = stream_interval_join(evs, sms, -11, 11, delay="8 days")
-    from fleetlens.session import start_with_partitions
-    q = start_with_partitions(spark, joined.writeStream.format("parquet").option("path", f"{run}/sink")
-                              .option("checkpointLocation", f"{run}/checkpoint").outputMode("append")
-                              .trigger(availableNow=True))
-    q.awaitTermination()
-    return spark.read.parquet(f"{run}/sink").select(*_cols(_CMB_OUT))
+    stage_by_time(ev, f"{run}/events", "EventTimeStamp", 7 * _DAY)
+    stage_by_time(_brake_samples(t, False), f"{run}/samples", "ppeTimeStamp", 7 * _DAY)
+    joined, _ = run_join_stream(spark, f"{run}/events", f"{run}/samples", run, -11, 11, width_s=7 * _DAY, slack_s=120)
+    return joined.select(*_cols(_CMB_OUT))
+
+
+@register("stream_late", O.with_ctes(O.TRIP_EVENT) + f"""SELECT TripEventID, chunk, slack FROM (
+  SELECT TripEventID, epoch(Timestamp) AS event_s, 600 AS slack, cast(floor(epoch(CreatedDate + to_days(CASE WHEN n % 50 = 0 THEN 1 ELSE 0 END)) / {_DAY}) * {_DAY} AS BIGINT) AS chunk
+  FROM trip_event) WHERE event_s < chunk - slack OR event_s >= chunk + {_DAY} + slack""")
+def q_stream_late(spark, sf_dir):
+    """Trip events that arrive too late for the streams (each fiftieth is delivered a day late): the rows
+    set aside, none lost, with the daily chunk they came in and the slack in seconds."""
+    import uuid
+
+    from fleetlens.session import checkpoint_dir
+    from fleetlens.sources.ordered import on_time, read_ordered, stage_by_time
+    from fleetlens.streaming.join import drain
+
+    te = fixtures.trip_events(spark, sf_dir).select("TripEventID", "Timestamp", "CreatedDate", "n")
+    run = f"{checkpoint_dir(spark).rstrip('/')}/late-stream-{uuid.uuid4().hex}"
+    arrival = F.expr("CreatedDate + make_interval(0, 0, 0, CASE WHEN n % 50 = 0 THEN 1 ELSE 0 END)")
+    stage_by_time(te, f"{run}/events", arrival, _DAY)
+    late = read_ordered(spark, f"{run}/events").where(~on_time("Timestamp", _DAY, 600))
+    drain(spark, late, f"{run}/late", f"{run}/checkpoint")
+    return spark.read.schema(late.schema).parquet(f"{run}/late").select("TripEventID", "chunk", F.lit(600).alias("slack"))

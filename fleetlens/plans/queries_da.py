@@ -106,16 +106,16 @@ def q_da_labels(spark, sf_dir):
 @register("stream_dedup", "WITH RECURSIVE " + ",\n".join([O.TRIP_EVENT, dedup_sql("trip_event", "CompanyID, VehicleID", "Timestamp", GAP_6H)])
           + "\nSELECT * FROM kept")
 def q_stream_dedup(spark, sf_dir):
-    """Min-gap dedup (6 h) as a Structured Streaming query with keyed state
-    (transformWithStateInPandas) over time-ordered file chunks; equals the batch result."""
+    """Min-gap dedup (6 h) as a Structured Streaming query: events arrive up to ten minutes out of
+    order, wait in keyed state and are folded when the watermark has passed; equals the batch result."""
     import uuid
 
     from fleetlens.session import checkpoint_dir
-    from fleetlens.streaming.dedup import run_dedup_stream, stage_ordered_chunks
+    from fleetlens.streaming.dedup import run_dedup_stream, stage_arrivals
 
-    te = fixtures.trip_events(spark, sf_dir)
+    te = fixtures.trip_events(spark, sf_dir).select("CompanyID", "VehicleID", "TripEventID", "Timestamp", "n")
     run = f"{checkpoint_dir(spark).rstrip('/')}/dedup-stream-{uuid.uuid4().hex}"
-    stage_ordered_chunks(te, f"{run}/trips")
-    q = run_dedup_stream(spark, f"{run}/trips", f"{run}/sink", f"{run}/checkpoint", GAP_6H)
-    q.awaitTermination()
-    return spark.read.parquet(f"{run}/sink").select("CompanyID", "VehicleID", "TripEventID")
+    arrival = F.expr("Timestamp + make_interval(0, 0, 0, 0, 0, cast((n * 7919) % 11 AS int), 0)")
+    stage_arrivals(te, f"{run}/trips", arrival, 7 * 86_400, 660)
+    kept, _ = run_dedup_stream(spark, f"{run}/trips", run, GAP_6H, 7 * 86_400, 660)
+    return kept.select("CompanyID", "VehicleID", "TripEventID")

@@ -14,18 +14,39 @@ from fleetlens.plans.queries_da import dedup_sql
 from fleetlens.plans.registry import register
 from fleetlens.sources.family import Telemetry, ecs_source
 
-_STATS_SQL = ", ".join(f"{O.q4(f'{fn}({c})')} AS {c}_{s}" for c in STAT_COLS
-                       for s, fn in (("mean", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min")))
+_X = {c: f"round_even({c} * 10000, 0)::BIGINT" for c in STAT_COLS}
+
+
+def _spread(x: str) -> str:
+    return f"cast(count({x}) * sum({x} * {x}) - sum({x}) * sum({x}) AS double)"
+
+
+def _stat(c: str, s: str) -> str:
+    x = _X[c]
+    return {"mean": f"cast(sum({x}) AS double) / (cast(count({c}) AS double) * 10000.0e0)",
+            "std": f"CASE WHEN count({c}) > 1 THEN sqrt({_spread(x)} / cast(count({c}) * (count({c}) - 1) AS double)) / 10000.0e0 END"}.get(s, f"{s}({c})")
+
+
+_HAAR_UNITS = {"ca2": "20000.0e0", "cd2": "20000.0e0", "cd1": f"{2 ** 0.5 * 10000!r}::DOUBLE"}
+
+
+def _haar(c: str, s: str) -> str:
+    unit = _HAAR_UNITS[c]
+    return {"mean": f"cast(sum({c}) AS double) / (cast(count({c}) AS double) * {unit})",
+            "std": f"sqrt({_spread(c)}) / (cast(count({c}) AS double) * {unit})"}.get(s, f"cast({s}({c}) AS double) / {unit}")
+
+
+_S = ("mean", "std", "max", "min")
+_STATS_SQL = ", ".join(f"{O.q4(_stat(c, s))} AS {c}_{s}" for c in STAT_COLS for s in _S)
 _HAAR_CTE = """h0 AS (SELECT *, row_number() OVER w - 1 AS rn,
-    (ppeTurningForce + coalesce(lead(ppeTurningForce, 1) OVER w, ppeTurningForce)) / sqrt(2) AS ca1_all,
-    (ppeTurningForce - coalesce(lead(ppeTurningForce, 1) OVER w, ppeTurningForce)) / sqrt(2) AS cd1_all
-  FROM {src} WINDOW w AS (PARTITION BY CompanyID, TripEventID ORDER BY SecTimeSegment, ppe_n)),
+    hx + coalesce(lead(hx, 1) OVER w, hx) AS ca1_all, hx - coalesce(lead(hx, 1) OVER w, hx) AS cd1_all
+  FROM (SELECT *, round_even(ppeTurningForce * 10000, 0)::BIGINT AS hx FROM {src})
+  WINDOW w AS (PARTITION BY CompanyID, TripEventID ORDER BY SecTimeSegment, ppe_n)),
 h1 AS (SELECT *, CASE WHEN rn % 2 = 0 THEN cd1_all END AS cd1,
-    CASE WHEN rn % 4 = 0 THEN (ca1_all + coalesce(lead(ca1_all, 2) OVER w, ca1_all)) / sqrt(2) END AS ca2,
-    CASE WHEN rn % 4 = 0 THEN (ca1_all - coalesce(lead(ca1_all, 2) OVER w, ca1_all)) / sqrt(2) END AS cd2
+    CASE WHEN rn % 4 = 0 THEN ca1_all + coalesce(lead(ca1_all, 2) OVER w, ca1_all) END AS ca2,
+    CASE WHEN rn % 4 = 0 THEN ca1_all - coalesce(lead(ca1_all, 2) OVER w, ca1_all) END AS cd2
   FROM h0 WINDOW w AS (PARTITION BY CompanyID, TripEventID ORDER BY SecTimeSegment, ppe_n))"""
-_HAAR_SQL = ", ".join(f"{O.q4(f'{fn}({c})')} AS wavelet_coeff_{s}_{i}" for i, c in enumerate(("ca2", "cd2", "cd1"))
-                      for s, fn in (("mean", "avg"), ("std", "stddev_pop"), ("max", "max"), ("min", "min")))
+_HAAR_SQL = ", ".join(f"{O.q4(_haar(c, s))} AS wavelet_coeff_{s}_{i}" for i, c in enumerate(("ca2", "cd2", "cd1")) for s in _S)
 
 
 @register("signal_stats", O.with_ctes(*ECS_CTES) + f"SELECT CompanyID, TripEventID, {_STATS_SQL} FROM src GROUP BY ALL")
@@ -43,19 +64,19 @@ def q_haar_features(spark, sf_dir):
     return feats.select("CompanyID", "TripEventID", *[c for c in ECS_FEATURES if c.startswith("wavelet")])
 
 
-_RAW_STATS = ", ".join(f"{fn}({c}) AS {c}_{s}" for c in STAT_COLS
-                       for s, fn in (("mean", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min")))
-_RAW_HAAR = ", ".join(f"{fn}({c}) AS wavelet_coeff_{s}_{i}" for i, c in enumerate(("ca2", "cd2", "cd1"))
-                      for s, fn in (("mean", "avg"), ("std", "stddev_pop"), ("max", "max"), ("min", "min")))
+_RAW_STATS = ", ".join(f"{_stat(c, s)} AS {c}_{s}" for c in STAT_COLS for s in _S)
+_RAW_HAAR = ", ".join(f"{_haar(c, s)} AS wavelet_coeff_{s}_{i}" for i, c in enumerate(("ca2", "cd2", "cd1")) for s in _S)
 ECS_DEDUP = "ecs_kept_src AS (SELECT s.* FROM src s SEMI JOIN kept k USING (CompanyID, batch_start, VehicleID, TripEventID))"
 ECS_FEATS = f"""feats AS (SELECT CompanyID, VehicleID, TripEventID, TripEventGuid, DriverID, CreatedDate, batch_start, n,
   {_RAW_STATS}, {_RAW_HAAR} FROM h1 GROUP BY ALL)"""
 
 
 def _z(c: str) -> str:
-    sd, n, eps = f"(stddev_pop({c}) OVER s)", "cast(count(*) OVER s AS double)", "2.220446049250313e-16"
-    noise = f"{n} * {eps} * ({sd} * {sd}) + ({n} * (avg({c}) OVER s) * {eps}) * ({n} * (avg({c}) OVER s) * {eps})"
-    return f"(({c} - avg({c}) OVER s) / CASE WHEN {sd} * {sd} <= {noise} THEN 1 ELSE {sd} END) AS {c}"
+    f = f"round_even({c} * 1e8, 0)::HUGEINT"
+    n, total = f"(count({c}) OVER s)", f"(sum({f}) OVER s)"
+    spread = f"cast({n} * (sum({f} * {f}) OVER s) - {total} * {total} AS double)"
+    centred = f"cast({n} * {f} - {total} AS double)"
+    return f"(CASE WHEN {spread} = 0 THEN {centred} / (cast({n} AS double) * 1e8) ELSE {centred} / sqrt({spread}) END) AS {c}"
 
 
 _ECS_BASE = ("WITH RECURSIVE " + ",\n".join([*ECS_CTES, dedup_sql("src", "CompanyID, batch_start, VehicleID", "EventTimeStamp", 60),

@@ -1,10 +1,10 @@
-"""Streaming min-gap dedup (T4): keyed state with ``transformWithStateInPandas``.
+"""Streaming min-gap dedup (T4): a sorted buffer per key, released by event-time timers.
 
-State per key (company, vehicle): the timestamp of the last kept event. Each micro-batch sorts
-the key's new events by (time, id) and folds them against the state, so the result equals the
-batch fold whenever a key's events arrive in time order (e.g. ingestion by time chunks). An
-event older than the last kept one is compared like any other (the gap is negative, so it is
-not kept), which is the documented carry-over behaviour for out-of-order input.
+State per key (company, vehicle): the events that the watermark has not passed yet, and the time of
+the last kept event. A timer at the earliest buffered event fires when the watermark passes it; all
+events up to the watermark are then final, so they are sorted by (time, id) and folded against the
+last kept time. Events may therefore arrive in any order within the slack of the source; the result
+equals the batch fold. Events beyond the slack are set aside by the caller (``on_time``), not dropped.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from fleetlens.session import start_with_partitions
+from fleetlens.sources.ordered import CHUNK, on_time, read_ordered, stage_by_time
+from fleetlens.streaming.join import drain
 
-OUT_SCHEMA = "CompanyID long, VehicleID string, TripEventID string, EventTimeStamp timestamp"
+OUT_SCHEMA = "CompanyID long, VehicleID string, TripEventID string, event_us long"
 
 # Ship the processor class by value: Python workers need only pandas, not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,59 +33,80 @@ class MinGapDedup(StatefulProcessor):
         self.gap_us = gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last_kept_us", "us long")
+        self.buffer = handle.getListState("buffer", "us long, id string")
+
+    def _wait(self, rows: list[tuple]) -> None:
+        """Buffer ``rows`` and ask to be called when the watermark passes the earliest."""
+        self.buffer.put(rows)
+        self.handle.registerTimer(min(us for us, _ in rows) // 1000 + 1)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["event_us", "TripEventID"], kind="mergesort")
-        last = self.last.get()[0] if self.last.exists() else None
-        keep = []
-        for us in batch["event_us"].to_numpy():
-            take = last is None or us - last > self.gap_us
-            keep.append(take)
-            if take:
-                last = int(us)
+        held = list(self.buffer.get()) if self.buffer.exists() else []
+        for batch in rows:
+            held += list(zip(batch["event_us"].tolist(), batch["TripEventID"].tolist()))
+        self._wait(held)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.buffer.exists():
+            return
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = [tuple(r) for r in self.buffer.get()]
+        final = sorted(r for r in held if r[0] < passed)
+        rest = [r for r in held if r[0] >= passed]
+        last, keep = (self.last.get()[0] if self.last.exists() else None), []
+        for us, event in final:
+            if last is None or us - last > self.gap_us:
+                keep.append((us, event))
+                last = us
         if last is not None:
             self.last.update((last,))
-        out = batch.loc[keep, ["CompanyID", "VehicleID", "TripEventID", "EventTimeStamp"]]
-        yield out.reset_index(drop=True)
+        if rest:
+            self._wait(rest)
+        else:
+            self.buffer.clear()
+        if keep:
+            yield pd.DataFrame({"CompanyID": key[0], "VehicleID": key[1], "TripEventID": [e for _, e in keep], "event_us": [us for us, _ in keep]})
 
     def close(self) -> None:
         pass
 
 
-def stage_ordered_chunks(trips: DataFrame, path: str, days: int = 7, files: int = 4) -> list[str]:
-    """Write trip events as time-ordered chunk folders (one write per chunk, oldest first), each
-    chunk exactly ``files`` files, so a file stream reading ``files`` files per trigger ingests one
-    whole chunk per micro-batch, in time order. The chunk list is a handful of time windows."""
-    chunk = F.date_format(F.window("CreatedDate", f"{days} days").start, "yyyyMMdd")
-    staged = trips.withColumn("_chunk", chunk)
-    names = sorted(r["_chunk"] for r in staged.select("_chunk").distinct().collect())
-    out = []
-    for name in names:
-        p = f"{path.rstrip('/')}/chunk={name}"
-        staged.where(F.col("_chunk") == name).drop("_chunk").repartition(files) \
-            .write.mode("overwrite").parquet(p)
-        out.append(p)
-    return out
-
-
-def run_dedup_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, gap_s: float,
-                     ts: str = "Timestamp", files_per_trigger: int = 4, state_partitions: int | None = None):
-    """Stream trip events from ``source_dir`` and append the kept ones to ``sink`` (parquet)."""
-    schema = spark.read.parquet(source_dir).schema
-    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
-         .select("CompanyID", "VehicleID", "TripEventID", F.col(ts).alias("EventTimeStamp"),
-                 F.unix_micros(F.col(ts)).alias("event_us")))
-    kept = s.groupBy("CompanyID", "VehicleID").transformWithStateInPandas(
-        statefulProcessor=MinGapDedup(int(gap_s * 1_000_000)), outputStructType=OUT_SCHEMA,
-        outputMode="Append", timeMode="None")
-    writer = (kept.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-              .outputMode("append").trigger(availableNow=True))
+def stage_arrivals(trips: DataFrame, path: str, arrival, width_s: int, slack_s: int, ts: str = "Timestamp") -> None:
+    """Stage trip events in chunks of their arrival time, and a last chunk with one marker row (null
+    vehicle) whose time moves the watermark past every event; a live stream needs no marker."""
+    stage_by_time(trips, path, arrival, width_s)
+    end = _latest_s(trips, arrival, ts)
+    if end is not None:
+        at = ((end + 4 * slack_s) // width_s + 2) * width_s
+        marker = trips.sparkSession.range(1).select(*[
+            (F.timestamp_seconds(F.lit(at)) if c == ts else F.lit(None)).cast(trips.schema[c].dataType).alias(c) for c in trips.columns])
+        marker.withColumn(CHUNK, F.lit(at)).write.mode("append").partitionBy(CHUNK).parquet(path)
+
+
+def _latest_s(trips: DataFrame, arrival, ts: str) -> int | None:
+    """Latest arrival or event time in epoch seconds."""
+    us = F.greatest(F.max(F.unix_micros(arrival)), F.max(F.unix_micros(ts)))
+    end = trips.agg(us.alias("us")).first()["us"]
+    return None if end is None else end // 1_000_000
+
+
+def run_dedup_stream(spark: SparkSession, trips: str, run: str, gap_s: float, width_s: int, slack_s: int,
+                     ts: str = "Timestamp") -> tuple[DataFrame, DataFrame]:
+    """(kept events, events set aside as too late) of a folder of arrival chunks (see ``sources.ordered``)."""
+    stream = read_ordered(spark, trips, progress=f"{run}/progress-dedup")
+    events = (stream.where(on_time(ts, width_s, slack_s)).withWatermark(ts, f"{2 * slack_s} seconds")
+              .select("CompanyID", "VehicleID", "TripEventID", ts, F.unix_micros(ts).alias("event_us")))
+    kept = events.groupBy("CompanyID", "VehicleID").transformWithStateInPandas(
+        statefulProcessor=MinGapDedup(int(gap_s * 1_000_000)), outputStructType=OUT_SCHEMA, outputMode="Append", timeMode="EventTime")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:  # a query takes its settings when it starts; the session keeps its own
-        return start_with_partitions(spark, writer, state_partitions)
+        drain(spark, kept.where("TripEventID IS NOT NULL"), f"{run}/kept", f"{run}/checkpoint-dedup")
     finally:
         spark.conf.set(provider, before)
+    stored = spark.read.parquet(trips).withColumn(CHUNK, F.col(CHUNK).cast("long"))
+    return spark.read.schema(OUT_SCHEMA).parquet(f"{run}/kept"), stored.where(~on_time(ts, width_s, slack_s))

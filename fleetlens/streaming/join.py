@@ -3,11 +3,17 @@
 Both sides carry a watermark; the join is an equi join on (CompanyID, VehicleID, _bucket) —
 the same time-bucket key as the batch join — plus the strict or inclusive time range written
 on the event-time columns, from which Spark derives how long each side's rows stay in state.
+
+``run_join_stream`` feeds it from two ordered sources and keeps the rows that come too late, so
+that every input row is either joined or set aside.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fleetlens.session import start_with_partitions
+from fleetlens.sources.ordered import CHUNK, on_time, read_ordered
 
 _US = 1_000_000
 
@@ -33,3 +39,35 @@ def stream_interval_join(events: DataFrame, samples: DataFrame, lo_s: int, hi_s:
         "TimeSegment": F.concat(secs.cast("string"), F.lit("."), F.col("SequenceID").cast("string")),
         "SecTimeSegment": secs.cast("double") + (F.col("SequenceID") - 1).cast("double") * F.lit(0.25),
     })
+
+
+def drain(spark: SparkSession, stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """Run ``stream`` into parquet at ``sink`` until its sources have no more chunks."""
+    writer = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+              .outputMode("append").trigger(processingTime="0 seconds"))
+    q = start_with_partitions(spark, writer)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
+def run_join_stream(spark: SparkSession, events: str, samples: str, run: str, lo_s: int, hi_s: int, width_s: int, slack_s: int,
+                    event_ts: str = "EventTimeStamp", sample_ts: str = "ppeTimeStamp") -> tuple[DataFrame, DataFrame]:
+    """Join two folders of time chunks (see ``sources.ordered``): (joined rows, rows set aside by side).
+
+    Rows up to ``slack_s`` beside their chunk take part, and none of these is dropped by the watermark.
+    """
+    timeline = [events, samples]
+    sides = {name: (read_ordered(spark, path, timeline, f"{run}/progress-{name}"), ts)
+             for name, path, ts in (("events", events, event_ts), ("samples", samples, sample_ts))}
+    ev, sm = (df.where(on_time(ts, width_s, slack_s)).drop(CHUNK) for df, ts in sides.values())
+    joined = stream_interval_join(ev, sm, lo_s, hi_s, delay=f"{2 * slack_s} seconds", event_ts=event_ts, sample_ts=sample_ts)
+    drain(spark, joined, f"{run}/joined", f"{run}/checkpoint-joined")
+    aside = None
+    for name, path, ts in (("events", events, event_ts), ("samples", samples, sample_ts)):
+        stored = spark.read.parquet(path).withColumn(CHUNK, F.col(CHUNK).cast("long"))
+        late = stored.where(~on_time(ts, width_s, slack_s)).select(
+            F.lit(name).alias("side"), "CompanyID", "VehicleID", F.col(ts).alias("at"), CHUNK)
+        aside = late if aside is None else aside.unionByName(late)
+    return spark.read.schema(joined.schema).parquet(f"{run}/joined"), aside

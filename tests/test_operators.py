@@ -104,10 +104,9 @@ def test_haar_energy_preserved_even_length(spark):
     x = [0.3, -0.1, 0.25, 0.4, -0.2, 0.05, 0.15, 0.1]
     df = _samples(spark, {"ppeTurningForce": x, "ppeSpeed": [1.0] * 8, "ppeCurvature": [0.0] * 8,
                           "ppeBrakingForce": [0.0] * 8})
-    from fleetlens.operators.signal import with_haar
-    h = with_haar(df).agg(F.sum(F.col("_cd1") ** 2).alias("d1"), F.sum(F.col("_ca2") ** 2).alias("a2"),
-                          F.sum(F.col("_cd2") ** 2).alias("d2")).first()
-    assert h["d1"] + h["a2"] + h["d2"] == pytest.approx(sum(v * v for v in x))
+    from fleetlens.operators.signal import HAAR_UNITS, with_haar
+    h = with_haar(df).agg(*[F.sum((F.col(c) / unit) ** 2).alias(c[1:]) for c, unit in HAAR_UNITS.items()]).first()
+    assert h["cd1"] + h["ca2"] + h["cd2"] == pytest.approx(sum(v * v for v in x))
 
 
 def test_zscore_population_and_constant(spark):
@@ -251,3 +250,22 @@ def test_constant_column_rule_and_null_flag(spark):
     assert {r["same"] for r in got} == {0.0}
     fitted = scope_stats(spark.createDataFrame([(1, 0.0), (1, 2.0)], "CompanyID int, big double"), ["big"], ("CompanyID",))
     assert batch_zscore(df.limit(1), ["big"], ("CompanyID",), fitted=fitted).first()["big"] == pytest.approx(1e9 - 1)
+
+
+def test_statistics_have_the_same_bits_in_any_order(spark):
+    from fleetlens.operators.scoring import batch_zscore
+    from fleetlens.operators.signal import ECS_FEATURES, event_signal_features
+    n = 40
+    x = {"ppeTurningForce": [((i * 23) % 100 - 50) / 100 for i in range(n)], "ppeSpeed": [float(80 + i * 13 % 23) for i in range(n)],
+         "ppeCurvature": [((i * 5) % 60 - 30) / 10 for i in range(n)], "ppeBrakingForce": [0.05] * n}
+    one = _samples(spark, x)
+    events = one.unionByName(one.withColumn("TripEventID", F.lit("other")).withColumn("ppeSpeed", F.col("ppeSpeed") + 0.3))
+    seen = set()
+    for partitions in (1, 8, 200):
+        shuffled = events.orderBy(F.rand(partitions)).repartition(partitions)
+        feats = event_signal_features(shuffled).withColumn("scope", F.lit(1))
+        z = batch_zscore(feats, ECS_FEATURES, scope=("scope",)).orderBy("TripEventID").select(*ECS_FEATURES)
+        seen.add(tuple(map(tuple, feats.orderBy("TripEventID").select(*ECS_FEATURES).collect())) + tuple(map(tuple, z.collect())))
+    assert len(seen) == 1
+    first = next(iter(seen))[0]
+    assert first[ECS_FEATURES.index("ppeBrakingForce_std")] == 0.0 and first[ECS_FEATURES.index("ppeBrakingForce_mean")] == 0.05
