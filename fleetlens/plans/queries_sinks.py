@@ -15,7 +15,8 @@ from fleetlens.plans.queries_core import _OSE_ALL, BAND_SQL
 from fleetlens.plans.queries_signal import _ECS_BASE, _ECS_SCORED
 from fleetlens.plans.registry import ORACLE, register
 from fleetlens.sources import fixtures
-from fleetlens.sources.family import Telemetry, ecs_source
+from fleetlens.sources.family import Telemetry, ecs_source, with_series
+from fleetlens.session import stored
 
 _KEYS4 = ["CompanyID", "VehicleID", "TripEventID", "TripEventGuid"]
 _SCORES = ("overspeed_scores", "nonsevere_scores", "da_scores", "ecs_scores", "cmb_curve", "esprsp_curve")
@@ -25,6 +26,7 @@ _LABELS = ("overspeed_labels", "nonsevere_labels", "da_labels", "ecs_labels", "c
 def _all_families(t: Telemetry, part: int) -> list:
     """Importance (part 0) or label (part 1) rows of the six families; text dates become timestamps."""
     when = "CreatedDate" if part == 0 else "Timestamp"
+    t = with_series(t, stored)  # one pass over the samples for all six
     jobs = (overspeed_job, nonsevere_job, da_job, ecs_job, cmb_job, esprsp_job)
     return [(d := job(t)[part]).withColumn(when, F.col(when).cast("timestamp")) for job in jobs]
 
@@ -39,8 +41,9 @@ def _pick(c: str) -> str:
     return f"CASE WHEN t.t_hit THEN t.{c} ELSE s.{c} END AS {c}"
 
 
+_IMP = "CompanyID, VehicleID, TripEventID, TripEventGuid, CreatedDate, importancescore"
 _UPSERT_IMP = (O.with_ctes(O.TRIP_EVENT, O.TRIP_EVENT_EXTRA) + f""",
-cand AS ({_candidates(_SCORES, "CompanyID, VehicleID, TripEventID, TripEventGuid, CreatedDate, importancescore", "CreatedDate")}),
+cand AS ({_candidates(_SCORES, _IMP, "CreatedDate")}),
 srcu AS (SELECT CompanyID, VehicleID, TripEventID, TripEventGuid, arg_min_null(CreatedDate, prio) AS CreatedDate,
   arg_min_null(importancescore, prio) AS ImportanceScore, TRUE AS s_hit FROM cand GROUP BY ALL)
 SELECT {_pick('CompanyID')}, {_pick('VehicleID')}, {_pick('TripEventID')}, {_pick('TripEventGuid')}, {_pick('CreatedDate')},
@@ -57,6 +60,25 @@ def q_upsert_importance(spark, sf_dir):
     return upsert_importance(t.extra, one_per_key(_all_families(t, 0), _KEYS4))
 
 
+@register("stream_upsert", _UPSERT_IMP.replace(_candidates(_SCORES, _IMP, "CreatedDate"), _candidates(_SCORES[:1], _IMP, "CreatedDate")))
+def q_stream_upsert(spark, sf_dir):
+    """TripEventExtra, partitioned by company and date, after a stream of overspeed scores: every
+    micro-batch is merged in foreachBatch and touches its own partitions only."""
+    import uuid
+
+    from fleetlens.operators.sinks import read_partitioned, write_partitioned
+    from fleetlens.session import checkpoint_dir
+    from fleetlens.streaming.stream import run_stream, stage_chunks
+
+    t = Telemetry.derive(spark, sf_dir)
+    run = f"{checkpoint_dir(spark).rstrip('/')}/upsert-stream-{uuid.uuid4().hex}"
+    write_partitioned(t.extra, f"{run}/extra", "CreatedDate")
+    stage_chunks(t.trips, f"{run}/trips", minutes=7 * 24 * 60)
+    run_stream(spark, f"{run}/trips", t, f"{run}/sink", f"{run}/checkpoint", overspeed_job, files_per_trigger=16,
+               targets={"importance": (f"{run}/extra", upsert_importance, "CreatedDate")}).awaitTermination()
+    return read_partitioned(spark, f"{run}/extra").select(*t.extra.columns)
+
+
 _UPSERT_CLS = (O.with_ctes(O.TRIP_EVENT, O.EVENT_CLASSIFICATION, O.EVENT_CLASSIFICATION_TYPE) + f""",
 lab AS ({_candidates(_LABELS, 'CompanyID, VehicleID, DriverID, TripEventID, ClassificationName, Timestamp, "By"', "Timestamp")}),
 one AS (SELECT CompanyID, VehicleID, TripEventID, arg_min_null(DriverID, prio) AS DriverID, arg_min_null(ClassificationName, prio) AS ClassificationName,

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -56,6 +57,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or path
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: later readers prune columns and rows."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def start_with_partitions(spark: SparkSession, writer, partitions: int | None = None):
     """Start a streaming ``writer`` whose stateful operators use ``partitions`` state partitions.
 

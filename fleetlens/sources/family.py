@@ -8,7 +8,7 @@ single live batch when a job should only see the latest window.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,6 +26,8 @@ class Telemetry:
     samples: DataFrame
     event_dim: DataFrame
     extra: DataFrame
+    #: Events of all families already joined with their samples (``with_series``); None: each family joins on its own.
+    series: DataFrame | None = None
 
     @classmethod
     def derive(cls, spark: SparkSession, sf_dir: str) -> "Telemetry":
@@ -74,13 +76,53 @@ def _sample_cols(samples: DataFrame, *cols) -> DataFrame:
                           "SequenceID", F.col("n").alias("ppe_n"), *cols)
 
 
+#: Family -> (event types, seconds before and after the event, whether the ends belong to the range).
+RANGES = {"overspeed": ((OVERSPEED_EVENT_ID,), 9, 11, False), "da": ((DA_EVENT_ID,), -10, 10, False),
+          "ecs": ((ECS_EVENT_ID,), -10, 10, False), "cmb": (CMB_EVENT_IDS, -11, 11, False), "esprsp": (ESPRSP_EVENT_IDS, -10, 10, True)}
+SAMPLE_VALUES = ("Speed", "BrakingForce", "TurningForce", "Curvature", "SpeedForwardVehicle", "DistanceForwardVehicle", "Abs", "BrakePercentage")
+
+
+def _family_events(t: Telemetry, family: str) -> DataFrame:
+    """The events of a family before the join, with their raw speeds."""
+    te = t.trips.where(F.col("EventID").isin(*RANGES[family][0]))
+    if family in ("overspeed", "da", "ecs"):
+        te = with_event_dim(te, t.event_dim)
+    else:
+        te = te.withColumn("EventName", F.lit(None).cast("string"))
+    if family in ("da", "ecs"):
+        te = unscored(te, t.extra, zero_is_unscored=family == "ecs")
+    return _event_cols(te, "EventName", F.col("Speed").alias("teSpeed"), "SpeedLimit")
+
+
+def _series(t: Telemetry, family: str, values: tuple[str, ...]) -> DataFrame:
+    """Events of a family with the samples in its range; sample values are named ``ppe<value>``."""
+    if t.series is not None:
+        return t.series.where(F.col("family") == family).drop("family")
+    _, lo, hi, inclusive = RANGES[family]
+    sm = _sample_cols(t.samples, *[F.col(v).alias(f"ppe{v}") for v in values])
+    return interval_join(_family_events(t, family), sm, lo, hi, inclusive)
+
+
+def with_series(t: Telemetry, store) -> Telemetry:
+    """All families joined with the samples in one pass over these, kept by ``store`` (a function that
+    writes a frame and returns it as read back): for jobs that score several families."""
+    events = None
+    for family, (_, lo, hi, inclusive) in RANGES.items():
+        ends = [F.lit(x).alias(n) for n, x in (("family", family), ("_lo", lo), ("_hi", hi), ("_ends", inclusive))]
+        ev = _family_events(t, family).select("*", *ends)
+        events = ev if events is None else events.unionByName(ev)
+    sm = _sample_cols(t.samples, *[F.col(v).alias(f"ppe{v}") for v in SAMPLE_VALUES])
+    joined = interval_join(events, sm, min(r[1] for r in RANGES.values()), max(r[2] for r in RANGES.values()), inclusive=True)
+    after = (F.unix_micros("ppeTimeStamp") - F.unix_micros("EventTimeStamp")) / 1_000_000
+    inside = ((after > F.col("_lo")) & (after < F.col("_hi"))) | (F.col("_ends") & ((after == F.col("_lo")) | (after == F.col("_hi"))))
+    return replace(t, series=store(joined.where(inside).drop("_lo", "_hi", "_ends")))
+
+
 def overspeed_source(t: Telemetry) -> DataFrame:
     """Overspeed events with the samples strictly between +9 s and +11 s (speeds in mph)."""
-    te = with_event_dim(t.trips.where(F.col("EventID") == OVERSPEED_EVENT_ID), t.event_dim)
-    ev = _event_cols(te, "EventName", (F.col("Speed") * F.lit(KMH_TO_MPH)).alias("tespeedmph"),
-                     F.round(F.col("SpeedLimit") * F.lit(KMH_TO_MPH), 0).alias("speedlimitmph"))
-    sm = _sample_cols(t.samples, F.round(F.col("Speed") * F.lit(KMH_TO_MPH), 2).alias("ppespeedmph"))
-    return interval_join(ev, sm, 9, 11)
+    return _series(t, "overspeed", ("Speed",)).withColumns({
+        "tespeedmph": F.col("teSpeed") * F.lit(KMH_TO_MPH), "speedlimitmph": F.round(F.col("SpeedLimit") * F.lit(KMH_TO_MPH), 0),
+        "ppespeedmph": F.round(F.col("ppeSpeed") * F.lit(KMH_TO_MPH), 2)}).drop("teSpeed", "SpeedLimit", "ppeSpeed")
 
 
 def nonsevere_source(t: Telemetry) -> DataFrame:
@@ -92,42 +134,28 @@ def nonsevere_source(t: Telemetry) -> DataFrame:
 
 def da_source(t: Telemetry) -> DataFrame:
     """Unscored distance alerts with samples strictly within (-10 s, +10 s)."""
-    te = unscored(with_event_dim(t.trips.where(F.col("EventID") == DA_EVENT_ID), t.event_dim), t.extra)
-    ev = _event_cols(te, "EventName", F.col("Speed").alias("teSpeed"))
-    sm = _sample_cols(t.samples, F.col("Speed").alias("ppeSpeed"),
-                      F.col("SpeedForwardVehicle").alias("ppeSpeedforwardV"),
-                      F.col("DistanceForwardVehicle").alias("ppeDistanceforwardV"))
-    return interval_join(ev, sm, -10, 10)
+    return (_series(t, "da", ("Speed", "SpeedForwardVehicle", "DistanceForwardVehicle"))
+            .withColumnsRenamed({"ppeSpeedForwardVehicle": "ppeSpeedforwardV", "ppeDistanceForwardVehicle": "ppeDistanceforwardV"}))
 
 
 def ecs_source(t: Telemetry) -> DataFrame:
     """Curve-speed events unscored (null or 0) with samples strictly within (-10 s, +10 s)."""
-    te = unscored(with_event_dim(t.trips.where(F.col("EventID") == ECS_EVENT_ID), t.event_dim),
-                  t.extra, zero_is_unscored=True)
-    ev = _event_cols(te, "EventName", F.col("Speed").alias("teSpeed"))
-    sm = _sample_cols(t.samples, F.col("Speed").alias("ppeSpeed"), F.col("TurningForce").alias("ppeTurningForce"),
-                      F.col("Curvature").alias("ppeCurvature"), F.col("BrakingForce").alias("ppeBrakingForce"))
-    return interval_join(ev, sm, -10, 10)
+    return _series(t, "ecs", ("Speed", "TurningForce", "Curvature", "BrakingForce"))
+
+
+_BRAKE_VALUES = ("Speed", "BrakingForce", "TurningForce", "Curvature", "BrakePercentage")
 
 
 def _brake_samples(t: Telemetry, with_abs: bool) -> DataFrame:
-    cols = [F.col("Speed").alias("ppeSpeed"), F.col("BrakingForce").alias("ppeBrakingForce"),
-            F.col("TurningForce").alias("ppeTurningForce"), F.col("Curvature").alias("ppeCurvature"),
-            F.col("BrakePercentage").alias("ppeBrakePercentage")]
-    if with_abs:
-        cols += [F.col("Abs").alias("ppeAbs"), F.col("DistanceForwardVehicle").alias("ppeDistanceForwardVehicle")]
-    return _sample_cols(t.samples, *cols)
+    return _sample_cols(t.samples, *[F.col(v).alias(f"ppe{v}") for v in _BRAKE_VALUES + ("Abs", "DistanceForwardVehicle") * with_abs])
 
 
 def cmb_source(t: Telemetry) -> DataFrame:
     """Collision-mitigation / forward-collision / excessive-brake events, samples within (-11 s, +11 s)."""
-    te = t.trips.where(F.col("EventID").isin(*CMB_EVENT_IDS))
-    ev = _event_cols(te, F.col("Speed").alias("teSpeed"), F.lit(0).alias("isSevere"))
-    return interval_join(ev, _brake_samples(t, False), -11, 11)
+    return _series(t, "cmb", _BRAKE_VALUES).withColumn("isSevere", F.lit(0)).drop("EventName", "SpeedLimit")
 
 
 def esprsp_source(t: Telemetry) -> DataFrame:
     """ESP / RSP brake events with samples in the closed interval [-10 s, +10 s]."""
-    te = t.trips.where(F.col("EventID").isin(*ESPRSP_EVENT_IDS))
-    ev = _event_cols(te, F.col("Speed").alias("teSpeed"), F.lit(0).alias("isSevere"))
-    return interval_join(ev, _brake_samples(t, True), -10, 10, inclusive=True)
+    return (_series(t, "esprsp", (*_BRAKE_VALUES, "Abs", "DistanceForwardVehicle"))
+            .withColumn("isSevere", F.lit(0)).drop("EventName", "SpeedLimit"))

@@ -7,7 +7,9 @@
   own time range (stream-static, bucketed interval join), so late-arriving events still meet
   their samples and a micro-batch never scans the whole sample table.
 * T5 idempotent sink: importance and label rows go to ``<sink>/importance`` and ``<sink>/labels``,
-  one folder per micro-batch, overwritten when it is replayed; ``merge_outputs`` upserts them.
+  one folder per micro-batch, overwritten when it is replayed; with ``targets`` each micro-batch is
+  also merged into partitioned tables (only the partitions it touches, once per batch id);
+  ``merge_outputs`` upserts everything into whole tables instead.
 * T6 late data: rows more than ``late_minutes`` older than the newest row of all earlier
   micro-batches are scored like any other and also stored in ``<sink>/late``; every micro-batch
   leaves its row count, late count and time span in ``<sink>/progress``.
@@ -22,6 +24,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.functions.columns import batch_start
+from fleetlens.operators.sinks import merge_partitions
 from fleetlens.plans.batch import samples_near
 from fleetlens.sources.family import Telemetry
 
@@ -35,11 +38,12 @@ def stage_chunks(trips: DataFrame, path: str, minutes: int = 24 * 60) -> str:
 
 def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink: str, checkpoint: str,
                job: Callable[[Telemetry], tuple[DataFrame, DataFrame]], available_now: bool = True,
-               files_per_trigger: int = 4, late_minutes: int = 45):
+               files_per_trigger: int = 4, late_minutes: int = 45, targets: dict[str, tuple] | None = None):
     """Score trip events as they land in ``trips_dir`` and write importance and label rows under ``sink``.
 
     ``job`` is any family job ``Telemetry -> (importance, labels)``; the micro-batch replaces the
-    trip table of ``telemetry`` while samples, dimensions and prior scores stay tables.
+    trip table of ``telemetry`` while samples, dimensions and prior scores stay tables. ``targets``
+    maps ``importance`` / ``labels`` to (table folder, merge function, date column of its rows).
     """
     schema = spark.read.parquet(trips_dir).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(trips_dir)
@@ -59,6 +63,9 @@ def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink:
             key = batch.select("CompanyID", "TripEventID", batch_start("CreatedDate").alias("batch_start"))
             for name, df in (("importance", importance), ("labels", labels)):
                 out(name, df.join(key, ["CompanyID", "TripEventID"]))
+            for name, (base, merge, date_col) in (targets or {}).items():
+                stored = spark.read.parquet(f"{root}/{name}/batch_id={batch_id}").drop("batch_start")
+                merge_partitions(spark, base, stored, merge, date_col, batch_id)
             out("progress", span.withColumn("late", F.lit(late.count())))
         finally:
             batch.unpersist()
