@@ -43,16 +43,19 @@ def da_job(t: Telemetry) -> tuple[DataFrame, DataFrame]:
                       created=as_date())
 
 
+ECS_KEYS = [*EVENT_PART, "TripEventGuid", "DriverID", "CreatedDate", "batch_start", "n"]
+
+
+def ecs_dedup(src: DataFrame) -> DataFrame:
+    return min_gap_dedup(src, RUN_VEHICLE, "EventTimeStamp", gap_s=DEDUP_GAP_SECONDS, bounded_scope=True)
+
+
 def ecs_events(t: Telemetry, dedup: bool = True) -> DataFrame:
-    src = ecs_source(t)
-    if dedup:
-        src = min_gap_dedup(src, RUN_VEHICLE, "EventTimeStamp", gap_s=DEDUP_GAP_SECONDS, bounded_scope=True)
-    return src
+    return ecs_dedup(ecs_source(t)) if dedup else ecs_source(t)
 
 
 def ecs_features(t: Telemetry, dedup: bool = True) -> DataFrame:
-    keys = [*EVENT_PART, "TripEventGuid", "DriverID", "CreatedDate", "batch_start", "n"]
-    return event_signal_features(ecs_events(t, dedup), keys)
+    return event_signal_features(ecs_events(t, dedup), ECS_KEYS)
 
 
 def ecs_scored(feats: DataFrame, probability=None) -> DataFrame:

@@ -15,8 +15,7 @@ from fleetlens.plans.queries_core import _OSE_ALL, BAND_SQL
 from fleetlens.plans.queries_signal import _ECS_BASE, _ECS_SCORED
 from fleetlens.plans.registry import ORACLE, register
 from fleetlens.sources import fixtures
-from fleetlens.sources.family import Telemetry, ecs_source, with_series
-from fleetlens.session import stored
+from fleetlens.sources.family import Telemetry, ecs_source
 
 _KEYS4 = ["CompanyID", "VehicleID", "TripEventID", "TripEventGuid"]
 _SCORES = ("overspeed_scores", "nonsevere_scores", "da_scores", "ecs_scores", "cmb_curve", "esprsp_curve")
@@ -26,7 +25,6 @@ _LABELS = ("overspeed_labels", "nonsevere_labels", "da_labels", "ecs_labels", "c
 def _all_families(t: Telemetry, part: int) -> list:
     """Importance (part 0) or label (part 1) rows of the six families; text dates become timestamps."""
     when = "CreatedDate" if part == 0 else "Timestamp"
-    t = with_series(t, stored)  # one pass over the samples for all six
     jobs = (overspeed_job, nonsevere_job, da_job, ecs_job, cmb_job, esprsp_job)
     return [(d := job(t)[part]).withColumn(when, F.col(when).cast("timestamp")) for job in jobs]
 
@@ -139,6 +137,71 @@ def q_run_counters(spark, sf_dir):
                          "scored": ecs_scored(f)})
 
 
+def _counts_sql(ctes: str, family: str, stages: dict[str, str]) -> str:
+    counted = " UNION ALL ".join(f"SELECT '{family}' AS family, CompanyID, {'batch_start' if frm != 'scored' else _BUCKET} AS batch_start, '{stage}' AS stage, "
+                                 f"count(DISTINCT TripEventID) AS events FROM {frm} GROUP BY ALL" for stage, frm in stages.items())
+    return f"SELECT * FROM ({ctes}\n{counted})"
+
+
+_BUCKET = O.BATCH.format(c="CreatedDate")
+_FAMILY_COUNTERS = " UNION ALL ".join([
+    _counts_sql(O.with_ctes(*_OSE_ALL), "overspeed", {"read": "src", "cleaned": "clean", "scored": "scored"}),
+    _counts_sql(O.with_ctes(*queries_features.CMB_FEAT_CTES, queries_features.CMB_CURVE), "cmb", {"read": "src", "featured": "feat", "scored": "cmbs"}),
+    _counts_sql(_ECS_BASE + _ECS_SCORED.rstrip("\n").replace("ecs_scored AS", "ecs_scores_ AS"), "ecs", {"read": "src", "deduped": "ecs_kept_src", "featured": "feats", "scored": "ecs_scores_"})])
+
+
+@register("family_counters", _FAMILY_COUNTERS)
+def q_family_counters(spark, sf_dir):
+    """Events per stage, company and run of the overspeed, collision and curve-speed jobs. Each family's
+    joined rows are stored once; every stage is counted from them, so the samples are joined once a family."""
+    from fleetlens.operators.features import CMB_DROPPED, event_features
+    from fleetlens.operators.overspeed import overspeed_clean, overspeed_scores
+    from fleetlens.plans.families import ecs_dedup
+    from fleetlens.operators.signal import event_signal_features
+    from fleetlens.plans.families import ECS_KEYS
+    from fleetlens.session import stored
+    from fleetlens.sources.family import cmb_source, overspeed_source
+
+    t = Telemetry.derive(spark, sf_dir)
+    read = {"overspeed": stored(overspeed_source(t)), "cmb": stored(cmb_source(t)), "ecs": stored(ecs_source(t))}
+    clean = overspeed_clean(read["overspeed"])
+    cmb = event_features(read["cmb"])
+    kept = ecs_dedup(read["ecs"])
+    feats = event_signal_features(kept, ECS_KEYS)
+    stages = {"overspeed": {"read": read["overspeed"], "cleaned": clean, "scored": overspeed_scores(clean)},
+              "cmb": {"read": read["cmb"], "featured": cmb, "scored": cmb.drop(*CMB_DROPPED).where(F.col("AbsDiffBrakingForcestd").isNotNull())},
+              "ecs": {"read": read["ecs"], "deduped": kept, "featured": feats, "scored": ecs_scored(feats)}}
+    out = None
+    for family, frames in stages.items():
+        part = run_counters(frames).withColumn("family", F.lit(family))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _raw_events(te):
+    """Trip events as the text an upstream system sends, with faults planted by row number."""
+    n = F.col("n")
+    return te.select(
+        F.when(n % 47 == 0, F.lit("x7")).otherwise(F.col("CompanyID").cast("string")).alias("CompanyID"),
+        F.when(n % 37 == 0, F.lit(None).cast("string")).when(n % 59 == 0, F.lit(" ")).otherwise(F.col("VehicleID")).alias("VehicleID"),
+        F.when(n % 31 == 0, F.concat(F.lit("zz"), F.col("TripEventID"))).otherwise(F.col("TripEventID")).alias("TripEventID"),
+        "TripEventGuid", F.col("Timestamp").cast("string").alias("Timestamp"),
+        F.when(n % 41 == 0, F.lit("2024-13-45")).when(n % 29 == 0, F.lit("1999-01-01 00:00:00")).otherwise(F.col("CreatedDate").cast("string")).alias("CreatedDate"),
+        F.when(n % 43 == 0, F.lit("fast")).otherwise(F.col("Speed").cast("string")).alias("Speed"), "n")
+
+
+@register("quarantine_rows", O.with_ctes(O.TRIP_EVENT) + """SELECT n, reasons FROM (SELECT n, concat_ws(', ',
+  CASE WHEN n % 29 = 0 AND n % 41 <> 0 THEN 'created before event' END,
+  CASE WHEN n % 47 = 0 THEN 'malformed CompanyID' END, CASE WHEN n % 41 = 0 THEN 'malformed CreatedDate' END,
+  CASE WHEN n % 43 = 0 THEN 'malformed Speed' END, CASE WHEN n % 31 = 0 THEN 'malformed TripEventID' END,
+  CASE WHEN n % 37 = 0 OR n % 59 = 0 THEN 'missing VehicleID' END) AS reasons FROM trip_event) WHERE reasons <> ''""")
+def q_quarantine_rows(spark, sf_dir):
+    """Rows of the incoming trip events that go into quarantine, with their reasons."""
+    from fleetlens.operators.quarantine import split_rows
+    bad = split_rows(_raw_events(fixtures.trip_events(spark, sf_dir)))[1]
+    return bad.select("n", F.concat_ws(", ", "reasons").alias("reasons"))
+
+
 _WEEKLY = O.with_ctes(O.TRIP_EVENT, O.EVENT_DIM, O.TRIP_EVENT_EXTRA, O.EVENT_CLASSIFICATION, O.EVENT_CLASSIFICATION_TYPE) + """
 SELECT x.CompanyID, cast(x.CreatedDate AS date) - cast(dayofweek(x.CreatedDate) AS integer) + 7 AS week_end,
   e.Name AS "Group", d.EventName, count(*) AS Count
