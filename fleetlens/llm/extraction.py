@@ -162,11 +162,11 @@ def content_roots(root: Node) -> list[Node]:
     for tags in (("article",), ("main",), ("body",)):
         found, todo = [], [root]
         while todo:
-            n = todo.pop(0)
+            n = todo.pop()
             if n.tag in tags and not is_noise(n, False):
                 found.append(n)
             elif n is root or not is_noise(n, False):
-                todo = [c for c in n.children if type(c) is Node] + todo
+                todo += [c for c in reversed(n.children) if type(c) is Node]
         if found:
             return found
     return [root]
@@ -223,13 +223,21 @@ def label(node: Node) -> str:
 
 
 def _same(a: tuple, b: tuple) -> bool:
-    return a[0] == b[0] and len(a[2]) == len(b[2]) and all(map(_same, a[2], b[2]))
+    todo = [(a, b)]  # a loop: trees may be deeper than the stack
+    while todo:
+        x, y = todo.pop()
+        if x[0] != y[0] or len(x[2]) != len(y[2]):
+            return False
+        todo += zip(x[2], y[2])
+    return True
 
 
 def _merge(a: tuple, b: tuple) -> None:
-    a[1].extend(b[1])
-    for x, y in zip(a[2], b[2]):
-        _merge(x, y)
+    todo = [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        x[1].extend(y[1])
+        todo += zip(x[2], y[2])
 
 
 def folded(top: Node) -> tuple:

@@ -437,3 +437,19 @@ def test_pipeline_stages(spark, tmp_path):
     out = corpus_pipeline.STAGES[-1][1](spark, held, str(tmp_path))
     assert Counter(r["doc_id"] for r in out.where("piece = 0").collect()) == ids[3]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == out.count()
+
+
+def test_deep_equal_siblings_and_wide_pages(spark):
+    import time
+    chain = "<div>" * 5000 + "<p>deep words here</p>" + "</div>" * 5000
+    deep = f"<html><body>{chain}{chain}</body></html>"
+    wide = "<html><body>" + "<p>one block</p>" * 40000 + "</body></html>"
+    df = spark.createDataFrame([(1, "http://a.example/1", deep), (2, "http://a.example/2", deep + "<p>end</p>"), (3, "http://b.example/1", wide)],
+                               "page_id long, url string, html string")
+    began = time.time()
+    got = {r["page_id"]: r["text"] for r in extraction.extract(df).collect()}
+    assert time.time() - began < 60
+    assert got[3] == "\n\n".join(["one block"] * 40000) and set(got) == {1, 2, 3}
+    root = extraction.parse(wide)
+    began = time.time()
+    assert [n.tag for n in extraction.content_roots(root)] == ["body"] and time.time() - began < 2
