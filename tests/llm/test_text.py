@@ -252,6 +252,69 @@ def test_quality_learns_and_keeps_clean_documents(spark):
     assert quality.keep_good(docs.limit(0), tags).count() == 0
 
 
+def views_of(n, seed, clean=0.9):
+    """Text and page views of n documents and their classes; the page tells the class for a share ``clean`` of them."""
+    r = np.random.default_rng(seed)
+    y = (r.random(n) < 0.7).astype(float)
+    text = r.normal(size=(n, quality.N_TEXT))
+    text[:, :5] += (y * 2 - 1)[:, None] * 0.9
+    source = np.where(r.random(n) < clean, np.where(y > 0, r.integers(0, 10, n), r.integers(10, 20, n)), r.integers(0, 20, n))
+    places = np.column_stack([np.zeros(n, int), 8 + source, np.full(n, 45)])
+    page = np.zeros((n, quality.N_PAGE))
+    page[np.arange(n)[:, None], places] = 1
+    return [text, page], places, y
+
+
+def pool_of(spark, views, places, parts):
+    rows = [(list(map(float, t)), list(map(int, p))) for t, p in zip(views[0], places)]
+    return spark.createDataFrame(rows, "text array<float>, page array<int>").repartition(parts)
+
+
+def test_exchange_uses_every_unlabelled_document_and_helps_both_views(spark):
+    known, _, y = views_of(120, 1)
+    views, places, truth = views_of(4000, 2)
+    got = []
+    for parts in (1, 7):
+        model = quality.CoTrained(known, y)
+        before = [((o > 0) == (truth > 0)).mean() for o in model.odds(views)]
+        given = quality.teach(model, pool_of(spark, views, places, parts), rounds=4, share=0.2, sure=math.log(9))
+        labels = model.taught([views[0].astype(np.float32).astype(float), views[1]])
+        assert given == [int((~np.isnan(v)).sum()) for v in labels]  # counted in Spark = told by the models
+        assert min(given) > 1000  # far more than the labelled rows
+        for v in labels:
+            told = ~np.isnan(v)
+            assert (v[told] == truth[told]).mean() > 0.93
+        after = [((o > 0) == (truth > 0)).mean() for o in model.odds(views)]
+        assert after[0] > before[0] + 0.02 and after[1] >= before[1] - 0.005
+        got.append((given, [m.w for m in model.models]))
+    assert got[0][0] == got[1][0]
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got[0][1], got[1][1]))
+
+
+def test_exchange_ends_at_the_optimum_of_labels_and_pseudo_labels(spark):
+    known, _, y = views_of(200, 3)
+    views, places, _ = views_of(900, 4)
+    model = quality.CoTrained(known, y)
+    assert max(quality.teach(model, pool_of(spark, views, places, 3), rounds=1, share=0.1, sure=math.log(9))) > 0
+    views[0] = views[0].astype(np.float32).astype(float)
+    for m, v, g, (x, label) in zip(model.models, views, model.taught(views), model.known):
+        told = ~np.isnan(g)
+        z, every = m.inputs(np.vstack([x, v[told]])), np.append(label, g[told])
+        weight = np.append(np.ones(len(x)), np.full(told.sum(), min(1.0, len(x) / max(told.sum(), 1))))
+        p = 1 / (1 + np.exp(-np.clip(z @ m.w, -30, 30)))
+        h = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(m.pull)
+        left = np.linalg.solve(h, z.T @ (weight * (every - p)) - m.pull * m.w)  # what one more Newton step would move
+        assert np.abs(left).max() < quality.SETTLED
+
+
+def test_thresholds_take_whole_bins_and_only_sure_ones():
+    counts = {-2000: 3, -1500: 4, -10: 90, 1500: 2, 1600: 5, 3000: 6}
+    assert quality.thresholds(counts, 0.5, 0.1, math.log(49)) == (-1500, 3000, 13)  # five a class: 3 + 4 and 6
+    assert quality.thresholds(counts, 0.5, 1.0, math.log(49)) == (-1500, 1500, 20)
+    low, high, n = quality.thresholds({}, 0.5, 0.1, 1.0)
+    assert n == 0 and low < -10 ** 6 and high > 10 ** 6
+
+
 # ---------------------------------------------------------------- extraction
 def page(body, title="t"):
     return f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{}}</style></head><body>{body}</body></html>"
