@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.ml.data import labelled_vectors, standardize
+from fleetlens.ml import forest
 from fleetlens.ml.folds import stratified_folds
 from fleetlens.ml.neighbours import exact_knn
 from fleetlens.ml.resample import A, B, C, M, adasyn, smote
@@ -154,3 +155,58 @@ per AS (SELECT id, cast(round(h * g::DOUBLE / greatest((SELECT sum(h) FROM hard)
 def q_adasyn(spark, sf_dir):
     """ADASYN rows for the training folds: source, neighbour, draw, and the new vector's first value and sum."""
     return _summary(adasyn(_train(spark, sf_dir)))
+
+
+# ---- a forest grown on the training folds and kept as a table, and the scores that it gives to every vector
+def _level_sql(level: int) -> str:
+    """Counts, the best cut of each node, and the nodes that rows reach after this level."""
+    return f""",
+h{level} AS (SELECT t, node, d, bin, sum(w * y) AS a, sum(w * (1 - y)) AS b FROM at{level} JOIN wt USING (id, t) JOIN bn USING (id)
+  WHERE node >= {2 ** level} AND (d * (2 * (t // {forest.SLICES}) + 1) + t) % {forest.SLICES} = 0 GROUP BY t, node, d, bin),
+c{level} AS (SELECT t, node, d, bin, sum(a) OVER r AS al, sum(b) OVER r AS bl, sum(a) OVER (PARTITION BY t, node, d) AS tot_a,
+  sum(b) OVER (PARTITION BY t, node, d) AS tot_b FROM h{level} WINDOW r AS (PARTITION BY t, node, d ORDER BY bin)),
+m{level} AS (SELECT t, node, d, bin, al::DOUBLE * n0 AS p, bl::DOUBLE * n1 AS q, (tot_a - al)::DOUBLE * n0 AS r, (tot_b - bl)::DOUBLE * n1 AS s
+  FROM c{level}, cls WHERE al + bl >= {forest.MIN_ROWS} AND tot_a + tot_b - al - bl >= {forest.MIN_ROWS} AND tot_a > 0 AND tot_b > 0),
+s{level} AS (SELECT t, node, d, bin AS cut FROM m{level}
+  QUALIFY row_number() OVER (PARTITION BY t, node ORDER BY (p * p + q * q) / (p + q) + (r * r + s * s) / (r + s) DESC, d, bin) = 1),
+at{level + 1} AS (SELECT id, t, CASE WHEN s.d IS NULL THEN a.node WHEN bn.bin <= s.cut THEN 2 * a.node ELSE 2 * a.node + 1 END AS node
+  FROM at{level} a LEFT JOIN s{level} s USING (t, node) LEFT JOIN bn USING (id, d))"""
+
+
+_FOREST = f"""WITH v AS (SELECT vec_id AS id, cast(label = 0 AS integer) AS y, embedding FROM embeddings),
+f AS (SELECT id, y, (row_number() OVER (PARTITION BY y ORDER BY (id * 7919 + 0) % 10007, id) - 1) % 5 AS fold FROM v),
+lv AS (SELECT id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM v),
+rg AS (SELECT d, min(x) AS lo, max(x) AS hi FROM lv JOIN f USING (id) WHERE fold <> 0 GROUP BY d),
+bn AS (SELECT id, d, CASE WHEN hi > lo THEN least(greatest(floor((x - lo) * {forest.BINS} / (hi - lo)), 0), {forest.BINS - 1}) ELSE 0 END::BIGINT AS bin
+  FROM lv JOIN rg USING (d)),
+cls AS (SELECT (count(*) FILTER (y = 0))::DOUBLE AS n0, (count(*) FILTER (y = 1))::DOUBLE AS n1 FROM f WHERE fold <> 0),
+at0 AS (SELECT id, t, 1 AS node FROM f, range({forest.TREES}) r(t)),
+hs AS (SELECT id, t, y, (id * {forest.A} + t * {forest.B}) % {forest.M} AS h FROM f, range({forest.TREES}) r(t) WHERE fold <> 0),
+wt AS (SELECT id, t, y, CASE WHEN h < 7360 THEN 1 WHEN h < 9200 THEN 2 ELSE 3 END AS w FROM hs WHERE h >= 3680)""" + "".join(
+    _level_sql(level) for level in range(forest.DEPTH)) + f""",
+lf AS (SELECT t, node, sum(w * y) AS a, sum(w * (1 - y)) AS b FROM at{forest.DEPTH} JOIN wt USING (id, t) GROUP BY t, node),
+leaf AS (SELECT t, node, (a + b)::BIGINT AS n, floor(a::DOUBLE * n0 / (a::DOUBLE * n0 + b::DOUBLE * n1) * {forest.MICRO} + 0.5e0)::BIGINT AS micros FROM lf, cls)
+"""
+_CUTS = " UNION ALL ".join(f"SELECT t, node, d, cut FROM s{level}" for level in range(forest.DEPTH))
+
+
+def _forest(spark, sf_dir):
+    rows = stratified_folds(labelled_vectors(spark, sf_dir))
+    return rows, forest.fit_forest(rows.where(F.col("fold") != 0))
+
+
+@register("forest_model", _FOREST + f"""SELECT t::INTEGER AS tree, node::INTEGER AS node, d::INTEGER AS dim, cut::INTEGER AS cut,
+  {O.q4("lo")} AS lo, {O.q4("hi")} AS hi, NULL::BIGINT AS rows, NULL::BIGINT AS micros FROM ({_CUTS}) JOIN rg USING (d)
+  UNION ALL SELECT t, node, NULL, NULL, NULL, NULL, n, micros FROM leaf""")
+def q_forest_model(spark, sf_dir):
+    """The balanced random forest of the training folds: one row per cut and leaf."""
+    return _forest(spark, sf_dir)[1]
+
+
+@register("forest_model_scores", _FOREST + f"""SELECT id, any_value(fold)::INTEGER AS fold, any_value(y)::INTEGER AS y,
+  {O.q4(f"sum(coalesce(micros, 0))::DOUBLE / {float(forest.TREES * forest.MICRO)}e0")} AS probability
+  FROM at{forest.DEPTH} JOIN f USING (id) LEFT JOIN leaf USING (t, node) GROUP BY id""")
+def q_forest_model_scores(spark, sf_dir):
+    """Probability of the trained forest for every vector; fold 0 was held out."""
+    rows, model = _forest(spark, sf_dir)
+    return rows.select("id", "fold", "y", forest.forest_probability(model, "x").alias("probability"))
