@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from fleetlens_helpers import rows
-from fleetlens.operators.dedup import kept_events, kept_events_doubling, kept_events_fold
+from fleetlens.operators.dedup import kept_events, kept_events_fold
 from fleetlens.operators.distance import distance_score, da_normalize, drop_joint_outliers, remove_noise
 from fleetlens.operators.features import event_features, event_values
 from fleetlens.operators.overspeed import nonsevere_clean, overspeed_scores
@@ -56,10 +56,26 @@ def test_min_gap_matches_sequential_loop(spark, times):
     assert got == _greedy(times, 60)
     fold = sorted(int(r["TripEventID"][1:]) for r in kept_events_fold(df, ["CompanyID", "VehicleID"], "ts", gap_s=60).collect())
     assert fold == got
-    dbl = sorted(int(r["TripEventID"][1:]) for r in kept_events_doubling(df, ["CompanyID", "VehicleID"], "ts", gap_s=60).collect())
-    assert dbl == got
-    tiny_runs = sorted(int(r["TripEventID"][1:]) for r in kept_events(df, ["CompanyID", "VehicleID"], "ts", gap_s=60, max_run=3).collect())
-    assert tiny_runs == got
+    levels = sorted(int(r["TripEventID"][1:]) for r in kept_events(df, ["CompanyID", "VehicleID"], "ts", gap_s=60, gaps=1, fan_bits=1).collect())
+    assert levels == got
+
+
+def test_min_gap_of_dense_sparse_and_broken_timelines(spark):
+    import random
+
+    rng = random.Random(4)
+    keys = {"dense": [i * 7 for i in range(3000)], "phases": [i * 60 for i in range(900)] + [i * 60 + 1 for i in range(900)],
+            "sparse": [rng.randrange(10 ** 7) for _ in range(200)], "before 1970": [-10 ** 9 + rng.randrange(9000) for _ in range(900)],
+            "bursts": [b * 5000 + rng.randrange(400) for b in range(40) for _ in range(30)]}
+    data = [(k, f"{t}#{c}", t * 1_000_000) for k, ts in keys.items() for t in ts for c in range(rng.choice((1, 1, 2)))]
+    data += [(None, "x", 0), ("dense", None, 0), ("dense", "no time", None)]
+    df = spark.createDataFrame(data, "k string, id string, us long").select("k", "id", F.timestamp_micros("us").alias("ts"))
+    want = sorted((k, t) for k, ts in keys.items() for t in _greedy(set(ts), 60))
+    for gaps, fan_bits in ((8, 6), (1, 1), (3, 2)):
+        got = [(r["k"], r["id"]) for r in kept_events(df, ["k"], "ts", "id", 60, gaps=gaps, fan_bits=fan_bits).collect()]
+        assert sorted((k, int(i.split("#")[0])) for k, i in got) == want
+        assert all(i.endswith("#0") for _, i in got)
+    assert kept_events(df.where("false"), ["k"], "ts", "id", 60).count() == 0
 
 
 def test_noise_run_drops_two_after_first(spark):
