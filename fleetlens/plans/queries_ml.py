@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from fleetlens.ml.data import labelled_vectors, standardize, with_vector
 from fleetlens.ml.folds import stratified_folds
 from fleetlens.ml.metrics import average_precision, ranking_metrics, weighted_prf
 from fleetlens.ml.models import compare_models, fit_lda, grid_search, lda_scores, pca_select
+from fleetlens.ml.sketch import WIDTH, dot, polynomial_sketch
 from fleetlens.plans import oracle as O
 from fleetlens.plans.registry import register
+from fleetlens.sources.tables import load
 
 _FOLDS_SQL = """SELECT id, y, cast((row_number() OVER (PARTITION BY y ORDER BY (id * 7919 + 0) % 10007, id) - 1) % 5 AS integer) AS fold
 FROM (SELECT vec_id AS id, cast(label = 0 AS integer) AS y FROM embeddings)"""
@@ -122,3 +126,21 @@ def q_feature_correlation(spark, sf_dir):
     m = Correlation.corr(v, "features").first()[0].toArray()  # width x width, whatever the rows
     rows = [(i, j, float(m[i, j])) for i in range(len(m)) for j in range(i + 1, len(m))]
     return spark.createDataFrame(rows, "dim_a int, dim_b int, corr double")
+
+
+# ---- the cubic kernel of every vector with the first vector of its label, and its sketch
+@register("cubic_sketch", f"""WITH r AS (SELECT label, min(vec_id) AS ref_id FROM embeddings WHERE embedding IS NOT NULL GROUP BY label)
+SELECT a.vec_id, r.ref_id, {O.q4("(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) + 1) ** 3")} AS kernel, TRUE AS within
+FROM embeddings a JOIN r ON a.label = r.label JOIN embeddings b ON b.vec_id = r.ref_id WHERE a.embedding IS NOT NULL""")
+def q_cubic_sketch(spark, sf_dir):
+    """(x . y + 1)^3 of every vector x and the first vector y of its label; ``within``: the dot product of their
+    sketches is at most three standard errors away, 3 sqrt(29 / 4096) of (|x|^2 + 1)^1.5 (|y|^2 + 1)^1.5."""
+    e = load(spark, sf_dir, "embeddings").where("embedding IS NOT NULL")
+    e = e.select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    n = e.select(F.max(F.size("x"))).first()[0] or 0
+    ref = e.groupBy("label").agg(F.min_by(F.struct("vec_id", "x"), "vec_id").alias("r"))
+    ref = ref.select("label", F.col("r.vec_id").alias("ref_id"), F.col("r.x").alias("y"), polynomial_sketch("r.x", n).alias("sy"))
+    d = e.withColumn("sx", polynomial_sketch("x", n)).join(ref, "label")
+    kernel = F.pow(dot("x", "y") + 1.0, 3.0)
+    reach = 3 * math.sqrt(29 / WIDTH) * F.pow((dot("x", "x") + 1.0) * (dot("y", "y") + 1.0), 1.5)
+    return d.select("vec_id", "ref_id", kernel.alias("kernel"), (F.abs(dot("sx", "sy") - kernel) <= reach).alias("within"))
