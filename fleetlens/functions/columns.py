@@ -32,12 +32,21 @@ def snap_limit(x) -> Column:
     return F.when(m <= 2, x - m).otherwise(x + (F.lit(5) - m))
 
 
-def label_band(score) -> Column:
-    """Inclusive bands [1,39] Low, [40,69] Mid, [70,100] High; anything else (gaps too) is null."""
+def label_band(score, bands: str = "gaps") -> Column:
+    """Inclusive bands [1,39] Low, [40,69] Mid, [70,100] High; anything else (gaps too) is null.
+
+    ``bands="contiguous"`` closes the gaps between bands: a band then reaches up to the next
+    one (39.5 is Low); scores under 1 or over 100 stay null.
+    """
+    if bands not in ("gaps", "contiguous"):
+        raise ValueError(f"bands is 'gaps' or 'contiguous', not {bands!r}")
     s = _c(score)
     expr = None
+    starts = sorted(lo for lo, _, _ in LABEL_BANDS)
     for lo, hi, name in LABEL_BANDS:
-        cond = (s >= lo) & (s <= hi)
+        later = [x for x in starts if x > lo]
+        below = s < later[0] if bands == "contiguous" and later else s <= hi
+        cond = (s >= lo) & below
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr.otherwise(F.lit(None).cast("string"))
 

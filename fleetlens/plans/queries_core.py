@@ -9,6 +9,7 @@ from fleetlens.operators.overspeed import nonsevere_outputs, overspeed_clean, ov
 from fleetlens.operators.routing import company_roster, route_shards
 from fleetlens.plans import oracle as O
 from fleetlens.plans.registry import register
+from fleetlens.schema import LABEL_HIGH, LABEL_LOW, LABEL_MID
 from fleetlens.sources import fixtures
 from fleetlens.sources.family import (Telemetry, cmb_source, da_source, ecs_source, esprsp_source,
                                       nonsevere_source, overspeed_source)
@@ -235,6 +236,17 @@ def q_classify_bands(spark, sf_dir):
     return te.select("TripEventID", s.alias("score"), label_band(s).alias("ClassificationName"))
 
 
+@register("classify_bands_contiguous", O.with_ctes(O.TRIP_EVENT) + f"""
+SELECT TripEventID, s AS score, CASE WHEN s >= 1 AND s < 40 THEN '{LABEL_LOW}' WHEN s >= 40 AND s < 70 THEN '{LABEL_MID}'
+  WHEN s >= 70 AND s <= 100 THEN '{LABEL_HIGH}' END AS ClassificationName
+FROM (SELECT TripEventID, cast((n * 37) % 1010 AS double) / 10 AS s FROM trip_event)""")
+def q_classify_bands_contiguous(spark, sf_dir):
+    """The same scores with bands that reach up to the next one, so that no score from 1 to 100 is without a label."""
+    te = fixtures.trip_events(spark, sf_dir)
+    s = ((F.col("n") * 37) % 1010).cast("double") / 10
+    return te.select("TripEventID", s.alias("score"), label_band(s, "contiguous").alias("ClassificationName"))
+
+
 # ---------------------------------------------------------------- roster and routing
 @register("company_roster", O.with_ctes(O.TRIP_EVENT, O.COMPANY, O.COMPANY_SETTINGS) + """
 SELECT c.CompanyID, concat('telemetry_shard', cast(cc.ReportShardID AS varchar)) AS DatabaseName, cc.ReportShardID AS ShardID

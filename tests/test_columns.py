@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import (curve_cmb, curve_ecs, curve_esprsp, curve_nonsevere, curve_overspeed,
                                          event_code, label_band, seconds_between, snap_limit, week_end)
+from fleetlens.schema import LABEL_HIGH, LABEL_LOW, LABEL_MID
 
 
 def _one(spark, expr, value, typ="double"):
@@ -37,6 +38,14 @@ def test_label_band_gaps(spark, score, want):
     assert _one(spark, label_band, score) == want
 
 
+@pytest.mark.parametrize("score,want", [(0.99, None), (1.0, LABEL_LOW), (39.5, LABEL_LOW), (40.0, LABEL_MID), (69.9, LABEL_MID), (70.0, LABEL_HIGH),
+                                        (100.0, LABEL_HIGH), (100.1, None), (None, None)])
+def test_label_band_contiguous(spark, score, want):
+    got = _one(spark, lambda c: label_band(c, "contiguous"), score)
+    assert got == want and (score is None or _one(spark, label_band, score) in (want, None))
+
+
+
 def test_event_code_unsigned(spark):
     assert _one(spark, event_code, "90000002_17", "string") == 2415919106
     assert _one(spark, event_code, "00008000_5", "string") == 32768
