@@ -140,7 +140,7 @@ def q_cubic_sketch(spark, sf_dir):
     n = e.select(F.max(F.size("x"))).first()[0] or 0
     ref = e.groupBy("label").agg(F.min_by(F.struct("vec_id", "x"), "vec_id").alias("r"))
     ref = ref.select("label", F.col("r.vec_id").alias("ref_id"), F.col("r.x").alias("y"), polynomial_sketch("r.x", n).alias("sy"))
-    d = e.withColumn("sx", polynomial_sketch("x", n)).join(ref, "label")
+    d = e.join(ref, "label").withColumn("sx", polynomial_sketch("x", n))  # sketches are wider than vectors: made after the shuffle
     kernel = F.pow(dot("x", "y") + 1.0, 3.0)
     reach = 3 * math.sqrt(29 / WIDTH) * F.pow((dot("x", "x") + 1.0) * (dot("y", "y") + 1.0), 1.5)
     return d.select("vec_id", "ref_id", kernel.alias("kernel"), (F.abs(dot("sx", "sy") - kernel) <= reach).alias("within"))
