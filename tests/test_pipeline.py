@@ -97,6 +97,21 @@ def test_join_plan_has_one_shape_and_no_job(spark):
     assert "_bucket" in plan and "Cross" not in plan and "rightHint" not in plan
 
 
+@pytest.mark.parametrize("query", ["brake_count", "remove_noise", "ecs_source"])
+def test_samples_are_never_broadcast(spark, query):
+    """A small events file explodes into many samples: their join is shuffled, with the events as the hash table."""
+    joins = [x for x in E.queries()[query](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString().splitlines() if "Join " in x and "_bucket" in x]
+    assert len(joins) == 1 and "ShuffledHashJoin" in joins[0] and "BuildLeft" in joins[0]
+
+
+def test_sample_tasks_do_not_grow_with_the_table(spark, monkeypatch):
+    from fleetlens.sources import fixtures
+    monkeypatch.setattr(fixtures, "EVENTS_PER_TASK", 20)
+    trips = fixtures.trip_events(spark, SF_SMOKE)
+    samples = fixtures.pre_post_events(spark, SF_SMOKE, trips)
+    assert samples.rdd.getNumPartitions() >= trips.count() / 20 and samples.count() == 84 * trips.count()
+
+
 def test_stream_equals_batch(spark):
     q = E.queries()
     a = q["stream_scores"](spark, SF_SMOKE)
