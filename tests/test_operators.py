@@ -162,6 +162,20 @@ def test_abs_runs(spark):
     assert v["abscount"] == 3
 
 
+def test_features_read_an_event_in_one_aggregate(spark):
+    """Full rows that repeat count once, per-event values count every sample, and no window frame spans the event."""
+    once = _brake_event(spark, [0.2, 0.0] * 5)
+    src = once.unionByName(once).unionByName(once.where("SecTimeSegment > 1"))
+    plan = event_features(src)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "unboundedfollowing" not in plan.split("HashAggregate")[-1].lower()
+    assert event_values(src).first()["AfterZeroBrakeOnCount"] == 23
+    row = event_features(once.unionByName(once.withColumn("TripEventID", F.lit("e2")))).orderBy("TripEventID").collect()
+    assert len(row) == 2 and row[0]["AbsDiffBrakingForcesum"] == row[1]["AbsDiffBrakingForcesum"] == pytest.approx(1.0)
+    other = once.withColumns({"TripEventGuid": F.lit("g2"), "ppe_n": F.col("ppe_n") + 1000})
+    two = event_values(once.unionByName(other)).collect()  # one event id, two guids: both rows see the whole event
+    assert [r["AfterZeroBrakeOnCount"] for r in two] == [20, 20]
+
+
 def test_feature_row_needs_driver_and_post_event_change(spark):
     assert event_features(_brake_event(spark, [0.2] * 10, driver=None)).count() == 0
     assert event_features(_brake_event(spark, [0.2] * 10, speed=[60.0] * 10)).count() == 0
