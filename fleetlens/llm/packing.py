@@ -249,9 +249,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
 
     Each round solves the programme for the pieces that are left; its bins that are full but for
     ``WASTE`` ids stay, the others are dissolved for the next round, whose groups follow what is
-    left. Every round's bins, all of them or those that stay, are also completed best-fit, longest
-    first; the plan with the fewest sequences is taken. Best fit alone is one of the plans, so the
-    result is never worse; the rounds end when no plan can be better by a thousandth.
+    left. Every round's bins (all of them, those that stay, or those without waste) are completed
+    best-fit, longest first; the plan with the fewest sequences is taken. The programme is solved
+    for every corpus, best fit only completes it; the rounds end when no plan can be better by a
+    thousandth.
 
     Columns length, first (rank of the run's first piece within its length), count,
     sequence (of the first piece; the next rank goes to the next sequence), offset.
@@ -264,17 +265,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
     def bins(blocks: list[list]) -> int:
         return sum(b[1] for b in blocks)
 
-    best = best_fit(left, kept, capacity)
+    best = None
     for _ in range(rounds):
-        if bins(best) * 1000 <= least * 1001:
-            break
         blocks = linear_grouping(left, capacity, groups, small)
-        stay = [b for b in blocks if b[0] <= WASTE]
-        rest = without(left, stay)
-        plans = [best, best_fit(without(left, blocks), kept + blocks, capacity), best_fit(rest, kept + stay, capacity)]
-        best = min(plans, key=bins)
-        left, kept = rest, kept + stay
-        if not stay:
+        stay, tight = ([b for b in blocks if b[0] <= waste] for waste in (WASTE, 0))
+        plans = [best_fit(without(left, x), kept + x, capacity) for x in (blocks, stay, tight)]
+        best = min(plans if best is None else [best, *plans], key=bins)
+        left, kept = without(left, stay), kept + stay
+        if not stay or bins(best) * 1000 <= least * 1001:
             break
     rows, rank, sequence = [], {k: 0 for k in counts}, 0
     for _, n, held in best:

@@ -155,6 +155,13 @@ def test_plan_is_never_worse_than_best_fit_decreasing(kind):
         assert len(held) < plain  # here the programme's configurations gain
 
 
+def test_plan_solves_the_programme_also_where_best_fit_is_near_the_bound(monkeypatch):
+    solved, whole = [], packing.linear_grouping
+    monkeypatch.setattr(packing, "linear_grouping", lambda *a: solved.append(whole(*a)) or solved[-1])
+    packing.plan({600: 1000, 424: 1000, 200: 5000, 24: 2})  # best fit alone is within a thousandth of the bound
+    assert solved and sum(b[1] for b in solved[0]) > 1000
+
+
 # ---------------------------------------------------------------- secrets
 def spans_by_hand(text):
     out = []
