@@ -62,7 +62,7 @@ def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink:
             importance, labels = job(t)
             key = batch.select("CompanyID", "TripEventID", batch_start("CreatedDate").alias("batch_start"))
             for name, df in (("importance", importance), ("labels", labels)):
-                out(name, df.join(key, ["CompanyID", "TripEventID"]))
+                out(name, df.join(key, ["CompanyID", "TripEventID"]).select(*df.columns, "batch_start"))
             for name, (base, merge, date_col) in (targets or {}).items():
                 stored = spark.read.parquet(f"{root}/{name}/batch_id={batch_id}").drop("batch_start")
                 merge_partitions(spark, base, stored, merge, date_col, batch_id)
