@@ -92,6 +92,23 @@ def test_dedup_of_disordered_arrival_equals_the_fold(spark, tmp_path):
     assert [x["TripEventID"] for x in aside.collect()] == ["t1-5"]
 
 
+@pytest.mark.parametrize("shards", [1, 3])
+def test_vehicles_that_share_a_shard_are_folded_apart(spark, tmp_path, shards):
+    """A few calls serve many vehicles; a vehicle name of two companies and null keys stay apart too."""
+    r = random.Random(9)
+    rows = [(c, v, f"t{c}-{v}-{i}", at(r.randrange(3 * DAY // 60) * 60)) for c in (1, 2, None) for v in ("V1", "V2", "V3") for i in range(30)]
+    trips = spark.createDataFrame(rows, "CompanyID long, VehicleID string, TripEventID string, Timestamp timestamp")
+    stage_arrivals(trips, str(tmp_path / "in"), F.timestamp_seconds(F.unix_timestamp("Timestamp") + F.pmod(F.hash("TripEventID"), F.lit(600))), DAY, 660)
+    kept, _ = run_dedup_stream(spark, str(tmp_path / "in"), str(tmp_path), 3600, DAY, 660, shards=shards)
+    want, last = set(), {}
+    for c, v, i, t in sorted(rows, key=lambda x: (x[3], x[2])):
+        if (c, v) not in last or (t - last[c, v]).total_seconds() > 3600:
+            want.add((c, v, i))
+            last[c, v] = t
+    assert {tuple(x)[:3] for x in kept.collect()} == want
+    assert dict(kept.dtypes)["CompanyID"] == "bigint"
+
+
 def test_rows_on_time_lie_within_the_slack(spark):
     base = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
     df = spark.createDataFrame([(base, at(s)) for s in (-61, -60, 0, DAY + 59, DAY + 60)], "chunk long, ts timestamp")
