@@ -104,6 +104,15 @@ def test_samples_are_never_broadcast(spark, query):
     assert len(joins) == 1 and "ShuffledHashJoin" in joins[0] and "BuildLeft" in joins[0]
 
 
+@pytest.mark.parametrize("query", [
+    "batch_zscore", "brake_irregularity", "center_deviation", "da_scores", "ecs_labels", "ecs_scores", "esprsp_labels", "event_extrema",
+    "minmax_normalize", "preview_json", "signal_stats", "speed_change", "speed_change_count", "speed_ratio"])
+def test_no_query_broadcasts_its_samples(spark, query):
+    plan = E.queries()[query](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString().splitlines()
+    joins = [x for x in plan if "Join " in x and "_bucket" in x]
+    assert joins and all("ShuffledHashJoin" in x and "BuildLeft" in x for x in joins)
+
+
 def test_sample_tasks_do_not_grow_with_the_table(spark, monkeypatch):
     from fleetlens.sources import fixtures
     monkeypatch.setattr(fixtures, "EVENTS_PER_TASK", 20)
