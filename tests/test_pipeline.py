@@ -113,6 +113,27 @@ def test_no_query_broadcasts_its_samples(spark, query):
     assert joins and all("ShuffledHashJoin" in x and "BuildLeft" in x for x in joins)
 
 
+@pytest.mark.parametrize("query", ["batch_run_scores", "ecs_model_scores", "family_counters", "run_counters", "stream_upsert"])
+def test_no_job_of_a_query_broadcasts_its_samples(spark, monkeypatch, tmp_path, query):
+    """The joins of frames that are stored or scored by micro-batch are not in the query's last plan: each is looked at where it is made."""
+    import datetime as dt
+
+    from fleetlens.sources import family
+    kinds = ("click", "view", "purchase", "error", "error", "other", "other")
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=5 * i), i % 4, kinds[i % 7], 1.0, None) for i in range(70)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    plans = []
+
+    def watched(*args, **kwargs):
+        plans.append((out := interval_join(*args, **kwargs))._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(family, "interval_join", watched)
+    assert E.queries()[query](spark, str(tmp_path)).count() > 0
+    joins = [x for plan in plans for x in plan.splitlines() if "Join " in x and "_bucket" in x]
+    assert len(joins) == len(plans) > 0 and all("ShuffledHashJoin" in x and "BuildLeft" in x for x in joins)
+
+
 def test_sample_tasks_do_not_grow_with_the_table(spark, monkeypatch):
     from fleetlens.sources import fixtures
     monkeypatch.setattr(fixtures, "EVENTS_PER_TASK", 20)
