@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from fleetlens_helpers import SF_SMOKE
-from fleetlens.operators.interval_join import interval_join, naive_interval_join
+from fleetlens_helpers import SF_SMOKE, rows
+from fleetlens.operators.interval_join import interval_join, naive_interval_join, near_events
 from fleetlens.sources.family import Telemetry, _brake_samples, _event_cols
 
 TABLES = ["events", "embeddings", "documents", "pages", "labels"]
@@ -97,6 +97,28 @@ def test_join_plan_has_one_shape_and_no_job(spark):
     assert "_bucket" in plan and "Cross" not in plan and "rightHint" not in plan
 
 
+@pytest.mark.parametrize("lo, hi, inclusive", [(9, 11, False), (-11, 11, False), (-10, 10, True), (3, 3, True)])
+def test_only_samples_near_an_event_are_shuffled(spark, lo, hi, inclusive):
+    """Samples of other vehicles and times do not reach the join's exchange; its rows are those of the plain join."""
+    import datetime as dt
+
+    at = lambda s: None if s is None else dt.datetime(1969, 12, 31, 23, 50) + dt.timedelta(seconds=s)
+    events = [(1, "V1", "a", at(0)), (1, "V1", "a", at(0)), (1, "V2", "b", at(1000)), (2, "V1", "c", at(600)), (None, "V1", "d", at(5)), (1, None, "e", at(5)), (1, "V1", "f", None)]
+    samples = [(c, v, at(s), 1 + s % 4, i) for i, (c, v, s) in enumerate((c, v, s) for c in (1, 2, None) for v in ("V1", "V2", None) for s in range(-600, 3000))]
+    samples += [(1, "V1", None, 1, -1), (1, "V1", at(10), 3, -2)]
+    ev = spark.createDataFrame(events, "CompanyID long, VehicleID string, TripEventID string, EventTimeStamp timestamp")
+    sm = spark.createDataFrame(samples, "CompanyID long, VehicleID string, ppeTimeStamp timestamp, SequenceID long, ppe_n long")
+    cols = ["TripEventID", "ppeTimeStamp", "ppe_n"]
+    joined = interval_join(ev, sm, lo, hi, inclusive)
+    want = rows(naive_interval_join(ev, sm, lo, hi, inclusive), *cols)
+    assert rows(joined, *cols) == want and len(want) > 0
+    passed = near_events(sm, ev, lo, hi, "EventTimeStamp", "ppeTimeStamp", ("CompanyID", "VehicleID")).count()
+    assert passed < 400  # of 32,402; at most two cells of 22 s around each of five events, and rows without a time
+    plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchange = [i for i, x in enumerate(plan) if "Exchange hashpartitioning" in x and "_bucket" in x]
+    assert len(exchange) == 2 and "BroadcastHashJoin" in "".join(plan[exchange[1]:])
+
+
 @pytest.mark.parametrize("query", ["brake_count", "remove_noise", "ecs_source"])
 def test_samples_are_never_broadcast(spark, query):
     """A small events file explodes into many samples: their join is shuffled, with the events as the hash table."""
