@@ -5,7 +5,8 @@ after those of a newer one (more writing tasks than cores, a retry, a back-fill)
 past the older rows when they come, and stateful operators drop them without a trace. Here an offset
 is the name of a chunk (its start in epoch seconds): every micro-batch takes one chunk, the earliest
 that has not been read. Sources that are joined share a timeline, the chunks of all their folders,
-so that they advance together even where one of them has no rows.
+so that they advance together even where one of them has no rows. A source opened with ``names``
+yields the names of its chunks only; the micro-batch then reads their files with Spark's own reader.
 
 Layout: ``<path>/chunk=<epoch seconds>/*.parquet``. The folder must be reachable by pyarrow (local
 or shared file systems, hdfs, s3, gs, abfs). ``progress`` names a file that takes the last chunk
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.types import StructType
 
 CHUNK = "chunk"
 
@@ -46,12 +48,19 @@ class ChunkFile(InputPartition):
         self.path, self.chunk = path, chunk
 
 
+class ChunkNames(InputPartition):
+    def __init__(self, chunks: list[int]):
+        super().__init__(tuple(chunks))
+        self.chunks = chunks
+
+
 class OrderedReader(DataSourceStreamReader):
     def __init__(self, schema, options: dict):
         self.schema = schema
         self.path = options["path"]
         self.timeline = [p for p in options.get("timeline", self.path).split(",") if p]
         self.progress = options.get("progress")
+        self.names = options.get("names", "false") == "true"
         self.at: int | None = None
 
     def initialOffset(self) -> dict:
@@ -72,24 +81,29 @@ class OrderedReader(DataSourceStreamReader):
                     return int(f.read())
         return -1
 
-    def partitions(self, start: dict, end: dict) -> list[ChunkFile]:
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         if end["chunk"] < start["chunk"]:
             raise ValueError(f"{self.progress} is older than the query's checkpoint: chunk {start['chunk']} has been read already")
         self.at = max(end["chunk"], -1 if self.at is None else self.at)
         from pyarrow import fs
         files, root = _file_system(self.path)
+        new = [chunk for chunk in _chunks(self.path) if start["chunk"] < chunk <= end["chunk"]]
+        if self.names:
+            return [ChunkNames(new)]
         out = []
-        for chunk in _chunks(self.path):
-            if start["chunk"] < chunk <= end["chunk"]:
-                inside = files.get_file_info(fs.FileSelector(f"{root}/{CHUNK}={chunk}", allow_not_found=True))
-                out += [ChunkFile(f.path, chunk) for f in sorted(inside, key=lambda f: f.path) if f.is_file and f.base_name[0] not in "._"]
+        for chunk in new:
+            inside = files.get_file_info(fs.FileSelector(f"{root}/{CHUNK}={chunk}", allow_not_found=True))
+            out += [ChunkFile(f.path, chunk) for f in sorted(inside, key=lambda f: f.path) if f.is_file and f.base_name[0] not in "._"]
         return out
 
-    def read(self, partition: ChunkFile) -> Iterator:
+    def read(self, partition: InputPartition) -> Iterator:
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import to_arrow_schema
         target = to_arrow_schema(self.schema)
+        if self.names:
+            yield pa.RecordBatch.from_arrays([pa.array(partition.chunks, pa.int64())], schema=target)
+            return
         files, _ = _file_system(self.path)
         with files.open_input_file(partition.path) as f:
             for batch in pq.ParquetFile(f).iter_batches(batch_size=10_000, use_threads=False):
@@ -122,17 +136,31 @@ def stage_by_time(df: DataFrame, path: str, ts, width_s: int) -> None:
     df.withColumn(CHUNK, chunk_start(ts, width_s)).write.partitionBy(CHUNK).parquet(path)
 
 
-def read_ordered(spark: SparkSession, path: str, timeline: list[str] | None = None, progress: str | None = None) -> DataFrame:
+def read_ordered(spark: SparkSession, path: str, timeline: list[str] | None = None, progress: str | None = None,
+                 names: bool = False) -> DataFrame:
     """Stream of a folder's rows, one chunk of the timeline a micro-batch, with the column ``chunk``.
 
+    With ``names`` it has a row per chunk and that column alone; ``read_chunks`` gives the rows.
     Start the query with a processing-time trigger and end it with ``processAllAvailable``.
     """
     spark.dataSource.register(OrderedChunks)
-    schema = spark.read.parquet(path).withColumn(CHUNK, F.col(CHUNK).cast("long")).schema
+    schema = f"{CHUNK} long" if names else stored_schema(spark, path)
     reader = spark.readStream.format("ordered_chunks").schema(schema).option("path", path).option("timeline", ",".join(timeline or [path]))
+    reader = reader.option("names", "true") if names else reader
     return (reader.option("progress", progress) if progress else reader).load()
 
 
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).withColumn(CHUNK, F.col(CHUNK).cast("long")).schema
+
+
+def read_chunks(spark: SparkSession, path: str, schema: StructType, chunks: list[int]) -> DataFrame:
+    """The rows of some chunks of a folder, with the column ``chunk``."""
+    if not chunks:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path.rstrip('/')}/{CHUNK}={c}" for c in chunks])
+
+
 def on_time(ts: str, width_s: int, slack_s: int) -> Column:
     """Rows whose time lies in their chunk or at most ``slack_s`` beside it.
 
