@@ -25,17 +25,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.functions.columns import batch_start
 from fleetlens.operators.sinks import merge_partitions
-from fleetlens.plans.batch import samples_near
+from fleetlens.plans.batch import DAY, samples_near
 from fleetlens.sources.family import Telemetry
 
 
+EVENTS_PER_FILE = 2_000_000
+
+
 def stage_chunks(trips: DataFrame, path: str, minutes: int = 24 * 60) -> str:
-    """Write trip events as file chunks (one folder per ``minutes`` of CreatedDate) to feed a file stream."""
+    """Write trip events as file chunks (one folder per ``minutes`` of CreatedDate) to feed a file stream.
+
+    Each task writes a range of CreatedDate of about ``EVENTS_PER_FILE`` events, so that a chunk has
+    the files that its rows need. A file per chunk and scan task would make many times the
+    micro-batches, and each of these reads the samples.
+    """
+    tasks = max(1, -(-trips.count() // EVENTS_PER_FILE))
     chunk = F.date_format(F.window("CreatedDate", f"{minutes} minutes").start, "yyyyMMddHHmm")
-    trips.withColumn("chunk", chunk).write.mode("overwrite").partitionBy("chunk").parquet(path)
+    ordered = trips.repartitionByRange(tasks, "CreatedDate")
+    ordered.withColumn("chunk", chunk).write.mode("overwrite").partitionBy("chunk").parquet(path)
     return path
 
 
+def stage_samples(samples: DataFrame, path: str) -> DataFrame:
+    """``samples`` stored by date, so that a micro-batch reads its own dates only (see ``samples_near``)."""
+    samples.withColumn(DAY, F.to_date("Timestamp")).write.partitionBy(DAY).parquet(path)
+    schema = samples.withColumn(DAY, F.to_date("Timestamp")).schema
+    return samples.sparkSession.read.schema(schema).parquet(path)
+
+
 def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink: str, checkpoint: str,
                job: Callable[[Telemetry], tuple[DataFrame, DataFrame]], available_now: bool = True,
                files_per_trigger: int = 4, late_minutes: int = 45, targets: dict[str, tuple] | None = None):
@@ -59,10 +76,14 @@ def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink:
             out("late", late)
             span = batch.agg(F.count(F.lit(1)).alias("events"), F.min("CreatedDate").alias("oldest"), F.max("CreatedDate").alias("newest"))
             t = replace(telemetry, trips=batch, samples=samples_near(telemetry.samples, batch))
-            importance, labels = job(t)
             key = batch.select("CompanyID", "TripEventID", batch_start("CreatedDate").alias("batch_start"))
-            for name, df in (("importance", importance), ("labels", labels)):
-                out(name, df.join(key, ["CompanyID", "TripEventID"]).select(*df.columns, "batch_start"))
+            scored = {name: df.join(key, ["CompanyID", "TripEventID"]).select(*df.columns, "batch_start")
+                      for name, df in zip(("importance", "labels"), job(t))}
+            both = _as_one(scored)  # one job: the exchange of the samples is made once for both
+            both.write.mode("overwrite").parquet(f"{root}/scored/batch_id={batch_id}")
+            rows = spark.read.schema(both.schema).parquet(f"{root}/scored/batch_id={batch_id}")
+            for name in scored:
+                out(name, rows.where(F.col("output") == name).select(f"{name}.*"))
             for name, (base, merge, date_col) in (targets or {}).items():
                 stored = spark.read.parquet(f"{root}/{name}/batch_id={batch_id}").drop("batch_start")
                 merge_partitions(spark, base, stored, merge, date_col, batch_id)
@@ -75,6 +96,17 @@ def run_stream(spark: SparkSession, trips_dir: str, telemetry: Telemetry, sink:
     return writer.start()
 
 
+def _as_one(frames: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several frames, each in the column of its frame's name; ``output`` says which."""
+    out = None
+    for name, df in frames.items():
+        cols = [F.struct(*df.columns).alias(n) if n == name else F.lit(None).cast(other.select(F.struct(*other.columns)).schema[0].dataType).alias(n)
+                for n, other in frames.items()]
+        rows = df.select(F.lit(name).alias("output"), *cols)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _newest_before(spark: SparkSession, progress: str, batch_id: int):
     """Newest CreatedDate of the micro-batches before ``batch_id`` (a replay sees the same), or None."""
     if batch_id == 0:

@@ -113,3 +113,43 @@ def test_rows_on_time_lie_within_the_slack(spark):
     base = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
     df = spark.createDataFrame([(base, at(s)) for s in (-61, -60, 0, DAY + 59, DAY + 60)], "chunk long, ts timestamp")
     assert [r[0] for r in df.select(on_time("ts", DAY, 60)).collect()] == [False, True, True, True, False]
+
+
+def test_join_keeps_only_rows_that_can_meet_a_later_chunk(spark, tables, tmp_path):
+    """What a micro-batch leaves for the next one is bounded by the range and the slack, not by the chunk."""
+    ev, sm = tables
+    stage_by_time(ev, str(tmp_path / "e"), "EventTimeStamp", DAY)
+    stage_by_time(sm, str(tmp_path / "s"), "ppeTimeStamp", DAY)
+    run_join_stream(spark, str(tmp_path / "e"), str(tmp_path / "s"), str(tmp_path), -11, 11, DAY, 60)
+    base = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
+    for side, ts, df in (("events", "EventTimeStamp", ev), ("samples", "ppeTimeStamp", sm)):
+        kept = spark.read.parquet(str(tmp_path / f"kept-{side}"))
+        assert 0 < kept.count() < df.count() / 3
+        left = kept.select(F.pmod(F.lit(base) - F.unix_timestamp(ts), F.lit(DAY)).alias("left"), "batch_id").collect()
+        assert all(r["left"] <= 60 + 11 or r["left"] >= DAY - 60 for r in left)
+
+
+def test_chunks_have_the_files_that_their_rows_need(spark, tmp_path, monkeypatch):
+    """Their number does not grow with the tasks of the scan: each four files are a micro-batch."""
+    from fleetlens.streaming import stream
+
+    trips = spark.createDataFrame([(i, at(i * 600)) for i in range(1000)], "n int, CreatedDate timestamp").repartition(7)
+    files = lambda path: [(f.parent.name, f.name) for f in path.glob("*/*.parquet")]
+    stream.stage_chunks(trips, str(tmp_path / "a"))
+    assert len(files(tmp_path / "a")) == 7 and spark.read.parquet(str(tmp_path / "a")).count() == 1000
+    monkeypatch.setattr(stream, "EVENTS_PER_FILE", 100)
+    stream.stage_chunks(trips, str(tmp_path / "b"))
+    assert 10 <= len(files(tmp_path / "b")) <= 17 and spark.read.parquet(str(tmp_path / "b")).count() == 1000
+
+
+def test_a_micro_batch_reads_the_samples_of_its_dates_only(spark, tables, tmp_path):
+    from fleetlens.plans.batch import samples_near
+    from fleetlens.streaming.stream import stage_samples
+
+    ev, sm = tables
+    sm, trips = (df.withColumnRenamed(c, "Timestamp") for df, c in ((sm, "ppeTimeStamp"), (ev, "EventTimeStamp")))
+    part = trips.where("Timestamp < '2024-03-05'")
+    near = samples_near(stage_samples(sm, str(tmp_path / "s")), part)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert near.select("Timestamp").distinct().count() == samples_near(sm, part).select("Timestamp").distinct().count() > 0
