@@ -156,6 +156,15 @@ def test_no_job_of_a_query_broadcasts_its_samples(spark, monkeypatch, tmp_path,
     assert len(joins) == len(plans) > 0 and all("ShuffledHashJoin" in x and "BuildLeft" in x for x in joins)
 
 
+def test_family_counters_store_no_joined_samples(spark, monkeypatch):
+    """Of the collision and curve-speed families only the feature rows are stored, one per event."""
+    from fleetlens import session
+    rows_of = []
+    monkeypatch.setattr(session, "stored", lambda df: (rows_of.append((df.columns, df.groupBy("CompanyID", "TripEventID").count().agg(F.max("count")).first()[0])), df)[1])
+    E.queries()["family_counters"](spark, SF_SMOKE)
+    assert [("ppespeedmph" in cols, per_event <= (8 if "ppespeedmph" in cols else 1)) for cols, per_event in rows_of] == [(True, True), (False, True), (False, True)]
+
+
 def test_sample_tasks_do_not_grow_with_the_table(spark, monkeypatch):
     from fleetlens.sources import fixtures
     monkeypatch.setattr(fixtures, "EVENTS_PER_TASK", 20)
